@@ -7,6 +7,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from caselabel import vocab
 
@@ -65,7 +66,7 @@ def strip_tags(text: Column) -> Column:
     return F.regexp_replace(text, r"<[^>]*>", "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _unescape(text: pd.Series) -> pd.Series:
     return text.map(html.unescape, na_action="ignore")
 

@@ -133,6 +133,8 @@ def max_text_len(df: DataFrame, group: str, words: Column) -> DataFrame:
 
 def null_profile(df: DataFrame) -> DataFrame:
     """Missing values per column, long form, with the table's row count."""
+    if not df.columns:
+        return df.sparkSession.createDataFrame([], "column_name string, nulls bigint, n_rows bigint")
     counts = df.agg(
         F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"_n{i}") for i, c in enumerate(df.columns)]
     )

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caselabel.operators.aggregates import null_profile
+
 
 def add_null_columns(df: DataFrame, names: list[str], dtype: str = "string") -> DataFrame:
     """Append empty columns."""
@@ -62,8 +64,10 @@ def label_project(df: DataFrame, text: str, label: str) -> DataFrame:
     return df.select(F.col(text).alias("relato"), F.col(label).alias("labels"))
 
 
-def column_symdiff(spark: SparkSession, left: DataFrame, right: DataFrame) -> DataFrame:
-    """Columns found in only one of two frames: ``(column_name, side)``."""
-    rows = [(c, "left_only") for c in left.columns if c not in right.columns]
-    rows += [(c, "right_only") for c in right.columns if c not in left.columns]
-    return spark.createDataFrame(rows, "column_name string, side string")
+def column_symdiff(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Columns found in only one of two frames, with how many rows miss a value."""
+    only_left = [c for c in left.columns if c not in right.columns]
+    only_right = [c for c in right.columns if c not in left.columns]
+    left_side = null_profile(left.select(*only_left)).withColumn("side", F.lit("left_only"))
+    right_side = null_profile(right.select(*only_right)).withColumn("side", F.lit("right_only"))
+    return left_side.unionByName(right_side)

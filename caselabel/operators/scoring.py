@@ -37,6 +37,43 @@ class Lexicon:
         return dict(sorted(out.items()))
 
 
+def lexicon_verdict(text: Column, lexicon: Lexicon) -> Column:
+    """Struct ``(label, score)`` of a narrative as one expression.
+
+    The text is split once; the known tokens are bound to a lambda variable, so
+    an optimiser that copies the expression into a filter copies it whole
+    instead of multiplying its parts.
+    """
+
+    def among(tokens: Column, wanted: list[str]) -> Column:
+        return F.filter(tokens, lambda t: t.isin(*wanted))
+
+    def verdict(hits: Column) -> Column:
+        sums = []
+        for name, by_weight in lexicon.weights().items():
+            total = F.lit(0)
+            for weight, tokens in sorted(by_weight.items()):
+                total = total + weight * F.size(among(hits, tokens))
+            sums.append(F.struct(F.lit(name).alias("label"), total.alias("s")))
+        start = F.struct(F.lit(lexicon.default).alias("label"), F.lit(0).alias("best"), F.lit(0).alias("total"))
+
+        def add(acc: Column, item: Column) -> Column:
+            return F.struct(
+                F.when(item["s"] > acc["best"], item["label"]).otherwise(acc["label"]).alias("label"),
+                F.greatest(acc["best"], item["s"]).alias("best"),
+                (acc["total"] + item["s"]).alias("total"),
+            )
+
+        def finish(acc: Column) -> Column:
+            share = F.when(acc["total"] > 0, acc["best"] / acc["total"]).otherwise(F.lit(0.0))
+            return F.struct(acc["label"].alias("label"), share.alias("score"))
+
+        return F.aggregate(F.array(*sums), start, add, finish)
+
+    known = among(F.split(text, " "), lexicon.tokens)
+    return F.get(F.transform(F.array(known), verdict), 0)
+
+
 def score_with_lexicon(
     df: DataFrame, text: str, lexicon: Lexicon, label: str, score: str, only: Column | None = None
 ) -> DataFrame:
@@ -48,31 +85,10 @@ def score_with_lexicon(
     get NULL.  Ties go to the label that sorts first; a text without any known
     token gets the lexicon's default label with score 0.
     """
-    active = F.lit(True) if only is None else only
-    known = F.filter(F.split(F.col(text), " "), lambda t: t.isin(*lexicon.tokens))
-    hits = F.when(active & F.col(text).isNotNull(), known)
-
-    sums = []
-    for rank, (name, by_weight) in enumerate(lexicon.weights().items()):
-        total = F.lit(0)
-        for weight, tokens in sorted(by_weight.items()):
-            total = total + weight * F.size(F.filter(F.col("_hits"), lambda t, tokens=tokens: t.isin(*tokens)))
-        sums.append(F.struct(total.alias("sum"), F.lit(-rank).alias("rank"), F.lit(name).alias("label")))
-
-    scored = df.withColumn("_hits", hits).withColumn("_sums", F.when(F.col("_hits").isNotNull(), F.array(*sums)))
-    best = F.array_max("_sums")
-    evidence = F.aggregate("_sums", F.lit(0), lambda acc, s: acc + s["sum"])
-    found = F.col("_evidence") > 0
-    return (
-        scored.withColumn("_best", best)
-        .withColumn("_evidence", evidence)
-        .withColumn(label, F.when(found, F.col("_best.label")).when(F.col("_sums").isNotNull(), lexicon.default))
-        .withColumn(
-            score,
-            F.when(found, F.col("_best.sum") / F.col("_evidence")).when(F.col("_sums").isNotNull(), F.lit(0.0)),
-        )
-        .drop("_hits", "_sums", "_best", "_evidence")
-    )
+    known = F.col(text).isNotNull()
+    active = known if only is None else only & known
+    scored = df.withColumn("_verdict", F.when(active, lexicon_verdict(F.col(text), lexicon)))
+    return scored.withColumns({label: F.col("_verdict.label"), score: F.col("_verdict.score")}).drop("_verdict")
 
 
 def score_with_lexicon_table(

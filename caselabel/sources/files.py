@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,19 +33,19 @@ def read_yearly_files(
 ) -> DataFrame:
     """Concatenate files whose headers differ, taking the columns by position.
 
-    The key is zero-padded to text and ``anio`` is the four-digit year found in
-    the file or folder name.  One scan per path, united lazily.
+    The key is zero-padded to text and ``anio`` is the four-digit year in the
+    last part of the path.  One scan per path, united lazily.
     """
     out = None
     for path in paths:
         reader = spark.read.option("header", True) if fmt == "csv" else spark.read
         part = reader.format(fmt).load(path)
-        origin = F.regexp_extract(F.col("_metadata.file_path"), r"(?<![0-9])((?:19|20)[0-9]{2})(?![0-9])", 1)
+        year = re.search(r"(?<!\d)\d{4}(?!\d)", path.rstrip("/").rsplit("/", 1)[-1])
         first, second = (F.col(f"`{c}`") for c in part.columns[:2])
         part = part.select(
             tx.zero_pad_key(first.cast("string")).alias(names[0]),
             second.cast("string").alias(names[1]),
-            origin.try_cast("int").alias("anio"),
+            F.lit(int(year.group()) if year else None).cast("int").alias("anio"),
         )
         out = part if out is None else out.unionByName(part)
     return out

@@ -42,7 +42,9 @@ def run_available(
         try:
             stored = batch.sparkSession.read.parquet(target)
             seen = stored.where(F.col("batch_id") != batch_id).select(key)
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             seen = None  # first batch: nothing stored yet
         result = incremental_batch(batch, seen, key, order_by, process)
         result.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
