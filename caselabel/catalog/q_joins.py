@@ -8,6 +8,7 @@ from caselabel import vocab
 from caselabel.catalog import roles as ro
 from caselabel.catalog.registry import dated, query, rounded
 from caselabel.functions import labels as lb
+from caselabel.functions import text as tx
 from caselabel.operators import aggregates as ag
 from caselabel.operators import datasets as ds
 from caselabel.operators import joins as jn
@@ -151,10 +152,15 @@ def left_join_where_right(t):
     return joined.where("l_returnflag = 'R'").select("o_orderkey", "l_linenumber", "l_suppkey")
 
 
-@query("train_test_leak", "SELECT DISTINCT text FROM benchmark WHERE text IN (SELECT text FROM documents) OR text IN (SELECT text FROM conversations)")
+@query(
+    "train_test_leak",
+    """SELECT DISTINCT sha256(text) AS digest FROM benchmark
+    WHERE text IN (SELECT text FROM documents) OR text IN (SELECT text FROM conversations)""",
+)
 def train_test_leak(t):
-    train = t.documents.select("text").unionByName(t.conversations.select("text"))
-    return ky.leaked_keys(train, t.benchmark.select("text"), "text")
+    digest = tx.text_digest(F.col("text")).alias("digest")
+    train = t.documents.select(digest).unionByName(t.conversations.select(digest))
+    return ky.leaked_keys(train, t.benchmark.select(digest), "digest")
 
 
 @query(
@@ -203,10 +209,10 @@ def duplicate_stats(t):
 
 @query(
     "duplicated_rows",
-    """SELECT doc_id, n_chars, text FROM documents WHERE text IN (SELECT text FROM documents GROUP BY text HAVING COUNT(*) > 1)""",
+    """SELECT doc_id, n_chars, sha256(text) AS digest FROM documents WHERE text IN (SELECT text FROM documents GROUP BY text HAVING COUNT(*) > 1)""",
 )
 def duplicated_rows(t):
-    return ky.duplicated_rows(t.documents.select("doc_id", "n_chars", "text"), ["text"])
+    return ky.duplicated_rows(t.documents.select("doc_id", "n_chars", tx.text_digest(F.col("text")).alias("digest")), ["digest"])
 
 
 @query(

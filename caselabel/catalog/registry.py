@@ -26,7 +26,12 @@ def query(name: str, sql: str | None = None):
     def add(fn: Callable[[Roles], DataFrame]):
         if name in REGISTRY:
             raise ValueError(f"query {name} is registered twice")
-        REGISTRY[name] = Query(lambda spark, sf_dir: fn(Roles(spark, sf_dir)), sql)
+
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(Roles(spark, sf_dir))
+
+        REGISTRY[name] = Query(run, sql)
         return fn
 
     return add

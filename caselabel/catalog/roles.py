@@ -16,7 +16,9 @@ from caselabel import vocab
 from caselabel.functions import text as tx
 from caselabel.operators import keys as ky
 from caselabel.operators.scoring import Lexicon, score_with_lexicon
+from caselabel.sources.tables import read_commission, read_table
 
+_NARRATIVES = ("documents", "pages")
 RUN_TIME = dt.datetime(2024, 2, 1, 8, 0, 0)
 SECRET = "not-a-real-secret"
 
@@ -203,7 +205,8 @@ class Roles:
         self._dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self._dir}/{name}.parquet")
+        path = f"{self._dir}/{name}.parquet"
+        return read_table(self.spark, path) if name in _NARRATIVES else self.spark.read.parquet(path)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -248,8 +251,6 @@ class Roles:
         )
 
     def commission(self) -> DataFrame:
-        from caselabel.sources.tables import read_commission
-
         return read_commission(self.commission_raw())
 
     def previous(self) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 def category_counts(df: DataFrame, label: str) -> DataFrame:
     """Rows per known label, most frequent first: ``(label, total)``."""
-    counts = df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("total"))
+    counts = df.groupBy(F.col(label).alias("label")).agg(F.count(label).alias("total")).where(F.col("total") > 0)
     return counts.orderBy(F.desc("total"), "label")
 
 
@@ -147,7 +147,7 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Distinct known values with their copies: the compact form of a distribution."""
-    return df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("x")).agg(F.count(F.lit(1)).alias("n"))
+    return df.groupBy(F.col(column).alias("x")).agg(F.count(column).alias("n")).where(F.col("n") > 0)
 
 
 def _quantile(counts_column: str, at: float, approximate: bool) -> Column:
@@ -193,13 +193,13 @@ def boxplot_stats(df: DataFrame, column: str) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Equal-width bins ``(bin, low, high, n)``; empty bins are absent.
 
-    The range comes from scalar subqueries on the same scan, not from a join.
+    The range is a scalar subquery over the counted values, not a join.
     """
-    known = df.where(F.col(column).isNotNull())
-    low = known.select(F.min(column).cast("double")).scalar()
-    high = known.select(F.max(column).cast("double")).scalar()
-    counted = known.groupBy(F.col(column).cast("double").alias("x")).agg(F.count(F.lit(1)).alias("c"))
-    ranged = counted.withColumn("lo", low).withColumn("width", (high - F.col("lo")) / bins)
+    counted = value_counts(df, column).select(F.col("x").cast("double").alias("x"), F.col("n").alias("c"))
+    ends = counted.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
+    ranged = counted.withColumn("_ends", ends).select(
+        "x", "c", F.col("_ends.lo").alias("lo"), ((F.col("_ends.hi") - F.col("_ends.lo")) / bins).alias("width")
+    )
     position = F.when(F.col("width") == 0, 0).otherwise(
         F.least(F.floor((F.col("x") - F.col("lo")) / F.col("width")), F.lit(bins - 1))
     )

@@ -73,11 +73,14 @@ def case_detail(
     """One row per case: header, latest matching assignment, names, counts and dates.
 
     ``which`` selects the assignments; ``extra`` names assignment columns to
-    carry along.  With ``keys`` only those cases are detailed, as a semi join.
+    carry along.  With ``keys`` only those cases are detailed; the child tables
+    are cut down to them before they are aggregated.
     """
     cases = valid_headers(headers)
     if keys is not None:
-        cases = ky.semi_known(cases, keys, "NDD")
+        cases, assignments, parties, phases = (
+            ky.semi_known(child, keys, "NDD") for child in (cases, assignments, parties, phases)
+        )
     chosen = ky.dedupe_last(
         assignments.where(which).join(units.select("unidad"), "unidad", "left_semi"),
         ["NDD"],

@@ -54,7 +54,8 @@ def split_exact(
     ``test_size`` is a number of keys or, below 1, a share rounded up;
     ``valid_share`` of the rest, rounded up, is for validation.  Keys are ranked
     by hash without a global sort: counts per hash prefix (65 536 at most) give
-    each prefix its first rank, and only keys of one prefix are sorted together.
+    each prefix its first and last rank, which settles all prefixes but the two
+    that hold a boundary; only the keys of those are sorted.
     """
     digest = key_hash(F.col(key), seed)
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()
@@ -66,18 +67,24 @@ def split_exact(
         .agg(F.count(F.lit(1)).alias("_c"))
         .select(
             "_p",
+            "_c",
             F.coalesce(F.sum("_c").over(running), F.lit(0)).alias("_before"),
             F.sum("_c").over(W.partitionBy()).alias("_n"),
         )
     )
-    ranked = hashed.join(F.broadcast(offsets), "_p").withColumn(
-        "_rank", F.col("_before") + F.row_number().over(W.partitionBy("_p").orderBy("_h", key))
-    )
     n = F.col("_n")
     test = F.lit(int(test_size)) if test_size >= 1 else F.ceil(n * F.lit(float(test_size)))
     valid = F.ceil((n - test) * F.lit(valid_share))
-    side = F.when(F.col("_rank") <= test, "test").when(F.col("_rank") <= test + valid, "valid").otherwise("train")
-    return ranked.select(key, side.alias("split"))
+
+    def side(rank: Column) -> Column:
+        return F.when(rank <= test, "test").when(rank <= test + valid, "valid").otherwise("train")
+
+    placed = hashed.join(F.broadcast(offsets), "_p")
+    first, last = side(F.col("_before") + 1), side(F.col("_before") + F.col("_c"))
+    settled = placed.where(first == last).select(key, first.alias("split"))
+    rank = F.col("_before") + F.row_number().over(W.partitionBy("_p").orderBy("_h", key))
+    ranked = placed.where(first != last).withColumn("_rank", rank).select(key, side(F.col("_rank")).alias("split"))
+    return settled.unionByName(ranked)
 
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:

@@ -16,22 +16,25 @@ from caselabel.functions import labels as lb
 from caselabel.operators import joins as jn
 
 
-def pair_counts(df: DataFrame, true: str, predicted: str) -> DataFrame:
-    """Rows per known pair: ``(y_true, y_pred, n)``."""
-    known = df.where(F.col(true).isNotNull() & F.col(predicted).isNotNull())
-    return known.groupBy(F.col(true).alias("y_true"), F.col(predicted).alias("y_pred")).agg(F.count(F.lit(1)).alias("n"))
+def pair_counts(df: DataFrame, true: str, predicted: str, labels: Iterable[str] | None = None) -> DataFrame:
+    """Rows per known pair, within a label list if one is given: ``(y_true, y_pred, n)``.
+
+    Unwanted pairs are dropped by their count: a filter on the labels would be
+    pushed below the scorer's output and make it run a second time.
+    """
+    wanted = F.col(true).isNotNull() & F.col(predicted).isNotNull()
+    if labels is not None:
+        wanted = F.col(true).isin(*labels) & F.col(predicted).isin(*labels)
+    counts = df.groupBy(F.col(true).alias("y_true"), F.col(predicted).alias("y_pred")).agg(F.count_if(wanted).alias("n"))
+    return counts.where(F.col("n") > 0)
 
 
 def confusion_matrix(df: DataFrame, true: str, predicted: str, labels: Iterable[str]) -> DataFrame:
     """Counts for every pair of a closed label list, zeros included."""
     labels = list(labels)
-    names = F.array(*[F.lit(x) for x in labels])
     grid = F.array(*[F.struct(F.lit(t).alias("y_true"), F.lit(p).alias("y_pred"), F.lit(0).cast("bigint").alias("n")) for t in labels for p in labels])
-    counts = pair_counts(df, true, predicted).where(
-        F.array_contains(names, F.col("y_true")) & F.array_contains(names, F.col("y_pred"))
-    )
     zeros = df.sparkSession.range(1).select(F.inline(grid))
-    return counts.unionByName(zeros).groupBy("y_true", "y_pred").agg(F.sum("n").alias("n"))
+    return pair_counts(df, true, predicted, labels).unionByName(zeros).groupBy("y_true", "y_pred").agg(F.sum("n").alias("n"))
 
 
 def confusion_matrix_norm(matrix: DataFrame) -> DataFrame:
@@ -110,24 +113,31 @@ def multilabel_confusion(df: DataFrame, true: str, predicted: str) -> DataFrame:
 
 def count_difference(df: DataFrame, month: str, true: str, predicted: str, mismatches_only: bool) -> DataFrame:
     """Counts per month and label by both label columns, and their difference."""
-    rows = df.where(~F.col(true).eqNullSafe(F.col(predicted))) if mismatches_only else df
+    differs = F.col("y_true").eqNullSafe(F.col("y_pred")) == F.lit(False)
+    counts = df.groupBy(F.col(month).alias("month"), F.col(true).alias("y_true"), F.col(predicted).alias("y_pred")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    counted = F.when(differs, F.col("n")).otherwise(0) if mismatches_only else F.col("n")
+    return _by_label(counts, counted, "month").withColumn("diff", F.col("n_true") - F.col("n_pred"))
 
-    def per_label(column: str, name: str) -> DataFrame:
-        return (
-            rows.where(F.col(column).isNotNull())
-            .groupBy(F.col(month).alias("month"), F.col(column).alias("label"))
-            .agg(F.count(F.lit(1)).alias(name))
-        )
 
-    both = jn.full_compare(per_label(true, "n_true"), per_label(predicted, "n_pred"), ["month", "label"], ["n_true", "n_pred"])
-    return both.withColumn("diff", F.col("n_true") - F.col("n_pred"))
+def _by_label(counts: DataFrame, n: Column, *groups: str) -> DataFrame:
+    """Counts per label as true and as predicted label, from counts per pair."""
+    zero = F.lit(0).cast("bigint")
+    sides = F.array(
+        F.struct(F.col("y_true").alias("label"), n.cast("bigint").alias("n_true"), zero.alias("n_pred")),
+        F.struct(F.col("y_pred").alias("label"), zero.alias("n_true"), n.cast("bigint").alias("n_pred")),
+    )
+    both = counts.select(*groups, F.inline(sides)).groupBy(*groups, "label").agg(
+        F.sum("n_true").alias("n_true"), F.sum("n_pred").alias("n_pred")
+    )
+    return both.where(F.col("label").isNotNull() & (F.col("n_true") + F.col("n_pred") > 0))
 
 
 def abs_count_error(df: DataFrame, true: str, predicted: str) -> DataFrame:
     """Sum of absolute count differences per label, in percent of all true labels."""
-    by_true = df.where(F.col(true).isNotNull()).groupBy(F.col(true).alias("label")).agg(F.count(F.lit(1)).alias("n_true"))
-    by_pred = df.where(F.col(predicted).isNotNull()).groupBy(F.col(predicted).alias("label")).agg(F.count(F.lit(1)).alias("n_pred"))
-    both = jn.full_compare(by_true, by_pred, ["label"], ["n_true", "n_pred"])
+    counts = df.groupBy(F.col(true).alias("y_true"), F.col(predicted).alias("y_pred")).agg(F.count(F.lit(1)).alias("n"))
+    both = _by_label(counts, F.col("n"))
     gap = F.sum(F.abs(F.col("n_true") - F.col("n_pred")))
     return both.agg(
         gap.alias("abs_diff"), F.sum("n_true").alias("total"), F.try_divide(100.0 * gap, F.sum("n_true")).alias("error_pct")

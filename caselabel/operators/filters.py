@@ -15,7 +15,7 @@ def filter_category(df: DataFrame, column: str, value: str) -> DataFrame:
 
 def filter_word_range(df: DataFrame, words: str, low: int = 35, high: int = 300) -> DataFrame:
     """Rows with ``low < words <= high``."""
-    return df.where((F.col(words) > low) & (F.col(words) <= high))
+    return df.where(F.expr(f"`{words}` BETWEEN {int(low) + 1} AND {int(high)}"))
 
 
 def filter_max_words(df: DataFrame, words: str, high: int = 300) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caselabel import vocab
+from caselabel.functions.text import once
 
 # A lexicon up to this many entries is written into the plan; larger ones are joined.
 MAX_INLINE_ENTRIES = 5000
@@ -40,9 +41,7 @@ class Lexicon:
 def lexicon_verdict(text: Column, lexicon: Lexicon) -> Column:
     """Struct ``(label, score)`` of a narrative as one expression.
 
-    The text is split once; the known tokens are bound to a lambda variable, so
-    an optimiser that copies the expression into a filter copies it whole
-    instead of multiplying its parts.
+    The text and its known tokens are bound, see ``once``.  NULL text gives NULL.
     """
 
     def among(tokens: Column, wanted: list[str]) -> Column:
@@ -70,8 +69,10 @@ def lexicon_verdict(text: Column, lexicon: Lexicon) -> Column:
 
         return F.aggregate(F.array(*sums), start, add, finish)
 
-    known = among(F.split(text, " "), lexicon.tokens)
-    return F.get(F.transform(F.array(known), verdict), 0)
+    def known(t: Column) -> Column:
+        return F.when(t.isNotNull(), once(among(F.split(t, " "), lexicon.tokens), verdict))
+
+    return once(text, known)
 
 
 def score_with_lexicon(
@@ -85,9 +86,8 @@ def score_with_lexicon(
     get NULL.  Ties go to the label that sorts first; a text without any known
     token gets the lexicon's default label with score 0.
     """
-    known = F.col(text).isNotNull()
-    active = known if only is None else only & known
-    scored = df.withColumn("_verdict", F.when(active, lexicon_verdict(F.col(text), lexicon)))
+    verdict = lexicon_verdict(F.col(text), lexicon)
+    scored = df.withColumn("_verdict", verdict if only is None else F.when(only, verdict))
     return scored.withColumns({label: F.col("_verdict.label"), score: F.col("_verdict.score")}).drop("_verdict")
 
 

@@ -6,6 +6,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, IndexToString, RegexTokenizer, StringIndexer
 from pyspark.ml.functions import vector_to_array
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,9 +32,20 @@ def classifier_pipeline(text: str, label: str, features: int = 1 << 14, iteratio
 
 
 def train_classifier(df: DataFrame, text: str, label: str, **options) -> PipelineModel:
-    """Fit on all rows with a label and a text."""
+    """Fit on all rows with a label and a text.
+
+    The term vectors feed three fitting passes, so they are kept (spilling to
+    disk) while the narratives are read and tokenised once.
+    """
     usable = df.where(F.col(text).isNotNull() & F.col(label).isNotNull())
-    return classifier_pipeline(text, label, **options).fit(usable)
+    indexer, tokenizer, hashing, *learners = classifier_pipeline(text, label, **options).getStages()
+    vectors = hashing.transform(tokenizer.transform(usable)).select(label, "_tf").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fitted = Pipeline(stages=[indexer, *learners]).fit(vectors)
+    finally:
+        vectors.unpersist()
+    first, *rest = fitted.stages
+    return PipelineModel([first, tokenizer, hashing, *rest])
 
 
 def training_history(df: DataFrame, model: PipelineModel) -> DataFrame:

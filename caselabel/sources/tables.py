@@ -36,6 +36,17 @@ def read_jdbc(
     return reader.load()
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet table, spread over the cores when it has fewer splits than there are cores.
+
+    Work on narratives is bound by CPU, so a small table in one file would keep
+    one core busy.  A table with enough splits is read as it is, unshuffled.
+    """
+    table = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
 def read_cases(
     table: DataFrame, text: str = "RELATO", words: str = "CANTIDAD_PALABRAS", key: str = "NDD", sample: int | None = None
 ) -> DataFrame:
