@@ -187,7 +187,7 @@ merged AS (SELECT c.NDD, CAST(c.words AS INTEGER) AS cantidad_palabras, length(c
 def refreshed(t, previous):
     cases = prepare(t.cases().select("NDD", "RELATO"), F.col("RELATO")).select("NDD", "relato", "cantidad_palabras")
     scorers = {f"delitos_{s}": t.scorer(s, "relato") for s in ("seguimiento", "validados")}
-    return refresh(cases, previous, scorers, ro.RUN_TIME, [F.col("FechaActualizacion"), F.col("relato")])
+    return refresh(cases, previous, scorers, ro.RUN_TIME, [F.col("FechaActualizacion"), F.xxhash64("relato")])
 
 
 @query(
@@ -309,7 +309,7 @@ def incremental_run(t):
         return lo.gate_and_score(fresh, scorer, "cantidad_palabras", "delitos_seguimiento", "score")
 
     arrived = prepare(t.cases().select("NDD", "RELATO"), F.col("RELATO")).select("NDD", "relato", "cantidad_palabras")
-    out = incremental_batch(arrived, t.previous(), "NDD", [F.col("relato")], process)
+    out = incremental_batch(arrived, t.previous(), "NDD", [F.xxhash64("relato")], process)
     return rounded(out.select("NDD", "delitos_seguimiento", "score"), "score")
 
 

@@ -80,19 +80,25 @@ def classification_report(df: DataFrame, true: str, predicted: str) -> DataFrame
     measured = measured.withColumn("f1", ratio(2 * p * r, p + r))
     measures = ("precision", "recall", "f1")
     total = F.sum("support")
-    accuracy = ratio(F.sum("tp"), total)
-    summary = measured.agg(
-        accuracy.alias("acc"),
+    # a group of one label averages a single row; the grand total gives the averages
+    rolled = measured.rollup("label").agg(
+        F.grouping("label").alias("_total"),
         total.alias("support"),
-        *[F.avg(m).alias(f"macro_{m}") for m in measures],
-        *[ratio(F.sum(F.col(m) * F.col("support")), total).alias(f"weighted_{m}") for m in measures],
+        ratio(F.sum("tp"), total).alias("_accuracy"),
+        *[F.avg(m).alias(m) for m in measures],
+        *[ratio(F.sum(F.col(m) * F.col("support")), total).alias(f"_weighted_{m}") for m in measures],
     )
-    lines = F.array(
-        F.struct(F.lit("accuracy").alias("label"), *[F.col("acc").alias(m) for m in measures], "support"),
-        F.struct(F.lit("macro avg").alias("label"), *[F.col(f"macro_{m}").alias(m) for m in measures], "support"),
-        F.struct(F.lit("weighted avg").alias("label"), *[F.col(f"weighted_{m}").alias(m) for m in measures], "support"),
+
+    def line(name: Column, *values: Column) -> Column:
+        return F.struct(name.alias("label"), *[v.alias(m) for v, m in zip(values, measures)], F.col("support"))
+
+    of_class = line(F.col("label"), *[F.col(m) for m in measures])
+    of_all = F.array(
+        line(F.lit("accuracy"), *[F.col("_accuracy")] * 3),
+        line(F.lit("macro avg"), *[F.col(m) for m in measures]),
+        line(F.lit("weighted avg"), *[F.col(f"_weighted_{m}") for m in measures]),
     )
-    return measured.select("label", *measures, "support").unionByName(summary.select(F.inline(lines)))
+    return rolled.select(F.inline(F.when(F.col("_total") == 0, F.array(of_class)).otherwise(of_all)))
 
 
 def accuracy(df: DataFrame, true: str, predicted: str) -> DataFrame:

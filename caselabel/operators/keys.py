@@ -7,23 +7,28 @@ its share of the scan.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def dedupe_last(df: DataFrame, keys: list[str], order_by: list[Column]) -> DataFrame:
+def dedupe_last(
+    df: DataFrame, keys: list[str], order_by: list[Column], keep: Iterable[str] | None = None
+) -> DataFrame:
     """One row per key: the one that is last by ``order_by``.
 
     ``order_by`` must end in a tie-break that is unique within a key, otherwise
-    any of the tied rows may come out.
+    any of the tied rows may come out; a hash of a long text does as well as the
+    text.  ``keep`` names the columns wanted besides the keys (default: all);
+    the others are not shuffled.
     """
-    rest = [c for c in df.columns if c not in keys]
+    columns = df.columns if keep is None else [*keys, *keep]
+    rest = [c for c in columns if c not in keys]
     last = F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), F.struct(*order_by))
-    return df.groupBy(*keys).agg(last.alias("_last")).select(
-        *[F.col(f"`{k}`") for k in keys], *[F.col(f"_last.`{c}`").alias(c) for c in rest]
-    ).select(*[F.col(f"`{c}`") for c in df.columns])
+    reduced = df.groupBy(*keys).agg(last.alias("_last"))
+    return reduced.select(*[F.col(f"`{c}`") if c in keys else F.col(f"_last.`{c}`").alias(c) for c in columns])
 
 
 def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -108,36 +108,28 @@ def score_with_lexicon_table(
     so that one very common token spreads over ``salt`` partitions.  The planner
     broadcasts the lexicon on its own when its size allows.
     """
-    bucket = F.pmod(F.xxhash64(key), F.lit(salt))
     counted = (
-        df.select(F.col(key).alias("_k"), F.explode(F.split(F.col(text), " ")).alias("token"))
+        df.select(F.col(key).alias("_k"), F.explode_outer(F.split(F.col(text), " ")).alias("token"))
         .groupBy("_k", "token")
         .agg(F.count(F.lit(1)).alias("copies"))
         .withColumn("_salt", F.pmod(F.xxhash64("_k"), F.lit(salt)))
     )
     salted = lexicon.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<bigint>")))
     sums = (
-        counted.join(salted, ["token", "_salt"])
+        counted.join(salted, ["token", "_salt"], "left")
         .groupBy("_k", "label")
-        .agg(F.sum(F.col("copies") * F.col("weight")).alias("s"))
+        .agg(F.sum(F.col("copies") * F.col("weight")).alias("s"), F.bool_or(F.col("token").isNotNull()).alias("has"))
     )
+    rank = F.struct((-F.col("s")).alias("neg"), F.col("label").alias("label"))
     best = sums.groupBy("_k").agg(
-        F.min(F.struct((-F.col("s")).alias("neg"), F.col("label").alias("label"))).alias("best"),
+        F.min(F.when(F.col("label").isNotNull(), rank)).alias("best"),
         F.sum("s").alias("evidence"),
+        F.bool_or("has").alias("has"),
     )
-    scored = best.select(
+    return best.select(
         F.col("_k").alias(key),
-        F.col("best.label").alias(label),
-        (-F.col("best.neg") / F.col("evidence")).alias(score),
-    )
-    return (
-        df.select(key, F.col(text).isNotNull().alias("_has"))
-        .join(scored, key, "left")
-        .select(
-            key,
-            F.when(F.col("_has"), F.coalesce(F.col(label), F.lit(default))).alias(label),
-            F.when(F.col("_has"), F.coalesce(F.col(score), F.lit(0.0))).alias(score),
-        )
+        F.when(F.col("has"), F.coalesce("best.label", F.lit(default))).alias(label),
+        F.when(F.col("has"), F.coalesce(-F.col("best.neg") / F.col("evidence"), F.lit(0.0))).alias(score),
     )
 
 

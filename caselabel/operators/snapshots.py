@@ -20,7 +20,7 @@ def update_from(target: DataFrame, source: DataFrame, key: str, columns: list[st
     Values are copied as they are, NULL included; unmatched rows and all other
     columns stay.  Write the result to a new path and swap.
     """
-    last = ky.dedupe_last(source.where(F.col(key).isNotNull()), [key], order_by)
+    last = ky.dedupe_last(source.where(F.col(key).isNotNull()), [key], order_by, keep=columns)
     values = last.select(key, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_hit"))
     joined = target.join(values, key, "left")
     return joined.select(
@@ -73,41 +73,52 @@ def backfill_missing(df: DataFrame, scorer: lo.Scorer, words: str, label: str, s
     ).drop("_missing", "_fill", "_fill_score")
 
 
+def carried_columns(schemes: Iterable[str]) -> list[str]:
+    """Columns a known case takes over from the previous snapshot."""
+    return [c for s in schemes for c in (s, f"score_{s}")] + ["FechaActualizacion"]
+
+
+def attach_previous(
+    current: DataFrame, previous: DataFrame, key: str, schemes: Iterable[str], order_by: list[Column]
+) -> DataFrame:
+    """Set the previous predictions (``_old_...``) beside each case; ``_seen`` marks known keys."""
+    carried = carried_columns(schemes)
+    last = ky.dedupe_last(previous.where(F.col(key).isNotNull()), [key], order_by, keep=carried)
+    old = last.select(key, *[F.col(c).alias(f"_old_{c}") for c in carried], F.lit(True).alias("_seen"))
+    return current.join(old, key, "left").withColumn("_seen", F.coalesce("_seen", F.lit(False)))
+
+
+def settle(attached: DataFrame, previous_columns: Iterable[str], schemes: Iterable[str], run_time) -> DataFrame:
+    """Previous prediction for known keys, current one for new keys.
+
+    Columns the previous snapshot does not have are dropped, the update time is
+    ``run_time`` for new keys, and when both schemes ran the agreement flag is
+    computed from the settled labels.
+    """
+    carried = carried_columns(schemes)
+    now = attached.withColumn("FechaActualizacion", F.lit(run_time).cast("timestamp"))
+    kept = [c for c in now.columns if c in set(previous_columns)]
+    out = now.select(
+        *[F.when(F.col("_seen"), F.col(f"_old_{c}")).otherwise(F.col(c)).alias(c) if c in carried else F.col(c) for c in kept]
+    )
+    if {"delitos_seguimiento", "delitos_validados"} <= set(out.columns):
+        out = out.withColumn("compare", lb.agreement(F.col("delitos_seguimiento"), F.col("delitos_validados")))
+    return out
+
+
 def merge_snapshots(
-    current: DataFrame,
-    previous: DataFrame,
-    key: str,
-    schemes: Iterable[str],
-    run_time,
-    order_by: list[Column],
-    drop: Iterable[str] = (),
+    current: DataFrame, previous: DataFrame, key: str, schemes: Iterable[str], run_time, order_by: list[Column]
 ) -> DataFrame:
     """Keep the current prediction for new keys and the previous one for the rest.
 
     ``schemes`` names the label columns the run produced; each has its
-    ``score_<label>``.  Columns the previous snapshot does not have are dropped,
-    the update time is ``run_time`` for new keys, and when both schemes ran the
-    agreement flag is computed from the merged labels.
+    ``score_<label>``.  See ``settle`` for the other columns.
     """
     schemes = list(schemes)
     if not schemes:
         raise ValueError("at least one label column must have been predicted")
-    carried = [c for s in schemes for c in (s, f"score_{s}")] + ["FechaActualizacion"]
-    last = ky.dedupe_last(previous.where(F.col(key).isNotNull()), [key], order_by)
-    old = last.select(key, *[F.col(c).alias(f"_old_{c}") for c in carried], F.lit(True).alias("_seen"))
-    kept = [c for c in current.columns if c in previous.columns and c != "FechaActualizacion"]
-    now = current.select(*kept).withColumn("FechaActualizacion", F.lit(run_time).cast("timestamp"))
-    merged = now.join(old, key, "left")
-    out = merged.select(
-        *[
-            F.when(F.col("_seen"), F.col(f"_old_{c}")).otherwise(F.col(c)).alias(c) if c in carried else F.col(c)
-            for c in now.columns
-            if c not in drop
-        ]
-    )
-    if {"delitos_seguimiento", "delitos_validados"} <= set(out.columns):
-        out = out.withColumn("compare", lb.agreement(F.col("delitos_seguimiento"), F.col("delitos_validados")))
-    return out
+    attached = attach_previous(current, previous, key, schemes, order_by)
+    return settle(attached, previous.columns, schemes, run_time)
 
 
 def commission_override(
@@ -118,7 +129,7 @@ def commission_override(
     ``columns`` maps our label column to the commission's; ``allowed`` gives the
     label set of each, from which ``N/A`` is always left out.
     """
-    last = ky.dedupe_last(commission.where(F.col(key).isNotNull()), [key], order_by)
+    last = ky.dedupe_last(commission.where(F.col(key).isNotNull()), [key], order_by, keep=set(columns.values()))
     theirs = last.select(key, *[F.col(c).alias(f"_theirs_{o}") for o, c in columns.items()])
     joined = df.join(theirs, key, "left")
     picks = {}

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from caselabel.functions import labels as lb
 from caselabel.functions import text as tx
-from caselabel.operators import keys as ky
 from caselabel.operators import labels as lo
 from caselabel.operators import snapshots as sn
 
@@ -31,20 +30,21 @@ def refresh(
     """Score new cases, complete the previous snapshot, and merge the two.
 
     ``cases`` has ``NDD, relato, cantidad_palabras``.  ``scorers`` maps a label
-    column to its scorer.  Without ``previous`` every case is scored.
+    column to its scorer.  Without ``previous`` every case is scored.  One join
+    tells new cases from known ones and brings the previous predictions along,
+    so the narratives move at most once.
     """
-    new = cases
+    done = previous
     if previous is not None:
-        new = ky.flag_new(cases, previous, "NDD", "_new")
+        for label, scorer in scorers.items():
+            done = sn.backfill_missing(done, scorer, "cantidad_palabras", label, f"score_{label}")
+        cases = sn.attach_previous(cases, done, "NDD", scorers, order_by)
     for label, scorer in scorers.items():
-        also = F.col("_new") if previous is not None else None
-        new = lo.gate_and_score(new, scorer, "cantidad_palabras", label, f"score_{label}", also=also)
+        also = None if previous is None else ~F.col("_seen")
+        cases = lo.gate_and_score(cases, scorer, "cantidad_palabras", label, f"score_{label}", also=also)
+    if previous is not None:
+        return sn.settle(cases, done.columns, scorers, run_time)
     if len(scorers) == 2:
         first, second = scorers
-        new = new.withColumn("compare", lb.agreement(F.col(first), F.col(second)))
-    if previous is None:
-        return new
-    done = previous
-    for label, scorer in scorers.items():
-        done = sn.backfill_missing(done, scorer, "cantidad_palabras", label, f"score_{label}")
-    return sn.merge_snapshots(new.drop("_new"), done, "NDD", scorers, run_time, order_by)
+        cases = cases.withColumn("compare", lb.agreement(F.col(first), F.col(second)))
+    return cases
