@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caselabel import vocab
-from caselabel.functions.text import once
 
 # A lexicon up to this many entries is written into the plan; larger ones are joined.
 MAX_INLINE_ENTRIES = 5000
@@ -38,41 +37,35 @@ class Lexicon:
         return dict(sorted(out.items()))
 
 
-def lexicon_verdict(text: Column, lexicon: Lexicon) -> Column:
-    """Struct ``(label, score)`` of a narrative as one expression.
+def _literal(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    The text and its known tokens are bound, see ``once``.  NULL text gives NULL.
-    """
-
-    def among(tokens: Column, wanted: list[str]) -> Column:
-        return F.filter(tokens, lambda t: t.isin(*wanted))
-
-    def verdict(hits: Column) -> Column:
-        sums = []
-        for name, by_weight in lexicon.weights().items():
-            total = F.lit(0)
-            for weight, tokens in sorted(by_weight.items()):
-                total = total + weight * F.size(among(hits, tokens))
-            sums.append(F.struct(F.lit(name).alias("label"), total.alias("s")))
-        start = F.struct(F.lit(lexicon.default).alias("label"), F.lit(0).alias("best"), F.lit(0).alias("total"))
 
-        def add(acc: Column, item: Column) -> Column:
-            return F.struct(
-                F.when(item["s"] > acc["best"], item["label"]).otherwise(acc["label"]).alias("label"),
-                F.greatest(acc["best"], item["s"]).alias("best"),
-                (acc["total"] + item["s"]).alias("total"),
-            )
+def _among(tokens: str, wanted: Iterable[str]) -> str:
+    return f"filter({tokens}, x -> x IN ({', '.join(_literal(w) for w in wanted)}))"
 
-        def finish(acc: Column) -> Column:
-            share = F.when(acc["total"] > 0, acc["best"] / acc["total"]).otherwise(F.lit(0.0))
-            return F.struct(acc["label"].alias("label"), share.alias("score"))
 
-        return F.aggregate(F.array(*sums), start, add, finish)
+def lexicon_verdict(text: str, lexicon: Lexicon) -> Column:
+    """Struct ``(label, score)`` of the narrative in a column, as one expression.
 
-    def known(t: Column) -> Column:
-        return F.when(t.isNotNull(), once(among(F.split(t, " "), lexicon.tokens), verdict))
-
-    return once(text, known)
+    The text and its known tokens are bound to lambda variables, so that each is
+    computed once per row (see ``functions.text.once``).  NULL text gives NULL.
+    """
+    sums = []
+    for label, by_weight in lexicon.weights().items():
+        total = " + ".join(f"{w} * size({_among('hits', tokens)})" for w, tokens in sorted(by_weight.items()))
+        sums.append(f"named_struct('label', {_literal(label)}, 's', {total})")
+    verdict = f"""aggregate(
+        array({', '.join(sums)}),
+        named_struct('label', {_literal(lexicon.default)}, 'best', 0, 'total', 0),
+        (acc, item) -> named_struct(
+            'label', if(item.s > acc.best, item.label, acc.label),
+            'best', greatest(acc.best, item.s),
+            'total', acc.total + item.s),
+        acc -> named_struct('label', acc.label, 'score', if(acc.total > 0, acc.best / acc.total, 0D)))"""
+    known = _among("split(t, ' ')", lexicon.tokens)
+    bound = f"get(transform(array({known}), hits -> {verdict}), 0)"
+    return F.expr(f"get(transform(array(`{text}`), t -> if(t IS NULL, NULL, {bound})), 0)")
 
 
 def score_with_lexicon(
@@ -86,7 +79,7 @@ def score_with_lexicon(
     get NULL.  Ties go to the label that sorts first; a text without any known
     token gets the lexicon's default label with score 0.
     """
-    verdict = lexicon_verdict(F.col(text), lexicon)
+    verdict = lexicon_verdict(text, lexicon)
     scored = df.withColumn("_verdict", verdict if only is None else F.when(only, verdict))
     return scored.withColumns({label: F.col("_verdict.label"), score: F.col("_verdict.score")}).drop("_verdict")
 

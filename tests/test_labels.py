@@ -136,6 +136,12 @@ def test_lexicon_inline_and_joined_agree_with_brute_force(spark, rows):
     assert {r.k: (r.l, r.s) for r in some.collect()} == {k: v if k > "3" else (None, None) for k, v in expected.items()}
 
 
+def test_lexicon_tokens_may_hold_quotes(rows):
+    lexicon = sc.Lexicon([("l'an", "d'X", 1), ("a\\b", "Y", 2)])
+    out = sc.score_with_lexicon(rows("k int, t string", (1, "l'an"), (2, "a\\b c")), "t", lexicon, "l", "s")
+    assert {r.k: (r.l, r.s) for r in out.collect()} == {1: ("d'X", 1.0), 2: ("Y", 1.0)}
+
+
 def test_lexicon_limits():
     with pytest.raises(ValueError):
         sc.Lexicon([("a", "X", 0)])
