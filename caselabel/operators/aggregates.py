@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from caselabel.operators.keys import key_difference
+
 
 def category_counts(df: DataFrame, label: str) -> DataFrame:
     """Rows per known label, most frequent first: ``(label, total)``."""
@@ -227,4 +229,4 @@ def lowest_confidence(df: DataFrame, label: str, value: str, score: str, key: st
 
 def label_set_diff(left: DataFrame, right: DataFrame, label: str) -> DataFrame:
     """Labels used on the left but not on the right."""
-    return left.select(label).subtract(right.select(label))
+    return key_difference(left, right, label)

@@ -11,12 +11,24 @@ from caselabel.functions import labels as lb
 from caselabel.operators import keys as ky
 
 
-def left_enrich(left: DataFrame, right: DataFrame, key: str, order_by: list[Column], suffix: str = "") -> DataFrame:
-    """Add the last right row of each key; the row count of ``left`` is kept."""
+def left_enrich(
+    left: DataFrame, right: DataFrame, key: str, order_by: list[Column], suffix: str = "", salt: int = 1
+) -> DataFrame:
+    """Add the last right row of each key; the row count of ``left`` is kept.
+
+    Adaptive execution splits a key with very many left rows in a single join.
+    Where several joins on the key follow each other it cannot; ``salt`` then
+    spreads each key over that many partitions, at the price of as many copies
+    of the reduced right side.
+    """
     last = ky.dedupe_last(right.where(F.col(key).isNotNull()), [key], order_by)
     if suffix:
         last = last.withColumnsRenamed({c: c + suffix for c in last.columns if c != key})
-    return left.join(last, key, "left")
+    if salt <= 1:
+        return left.join(last, key, "left")
+    spread = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salt)))
+    copies = last.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<bigint>")))
+    return spread.join(copies, [key, "_salt"], "left").drop("_salt")
 
 
 def left_override(
@@ -27,10 +39,12 @@ def left_override(
     return last.select(*[F.col(f"{c}__r").alias(c) if c in columns else F.col(c) for c in left.columns])
 
 
-def three_way(police: DataFrame, registry: DataFrame, commission: DataFrame, key: str, order_by) -> DataFrame:
+def three_way(
+    police: DataFrame, registry: DataFrame, commission: DataFrame, key: str, order_by: list[list[Column]], salt: int = 1
+) -> DataFrame:
     """Police rows with the last registry and the last commission row of each key."""
-    first = left_enrich(police, registry, key, order_by[0], "_registry")
-    return left_enrich(first, commission, key, order_by[1], "_comision")
+    first = left_enrich(police, registry, key, order_by[0], "_registry", salt)
+    return left_enrich(first, commission, key, order_by[1], "_comision", salt)
 
 
 def full_compare(left: DataFrame, right: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:

@@ -61,14 +61,18 @@ def distinct_keys(df: DataFrame, key: str) -> DataFrame:
 
 
 def semi_known(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is in ``known``."""
-    return df.join(known.select(key), key, "left_semi")
+    """Rows whose key is in ``known``.
+
+    The distinct step leaves the keys partitioned as the join wants them, so it
+    costs no shuffle of its own and a key with many copies travels once per task.
+    """
+    return df.join(known.select(key).distinct(), key, "left_semi")
 
 
 def anti_new_keys(df: DataFrame, *earlier: DataFrame, key: str) -> DataFrame:
     """Rows whose key is in none of the earlier snapshots."""
     seen = reduce(DataFrame.unionByName, [e.select(key) for e in earlier])
-    return df.join(seen, key, "left_anti")
+    return df.join(seen.distinct(), key, "left_anti")
 
 
 def flag_new(df: DataFrame, earlier: DataFrame, key: str, flag: str = "is_new") -> DataFrame:
@@ -77,19 +81,28 @@ def flag_new(df: DataFrame, earlier: DataFrame, key: str, flag: str = "is_new")
     return df.join(seen, key, "left").withColumn(flag, F.col("_seen").isNull()).drop("_seen")
 
 
+def _presence(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Distinct keys, NULL included, with the sides they occur on: one combining aggregate."""
+    yes, no = F.lit(True), F.lit(False)
+    tagged = left.select(key, yes.alias("_l"), no.alias("_r")).unionByName(
+        right.select(key, no.alias("_l"), yes.alias("_r"))
+    )
+    return tagged.groupBy(key).agg(F.bool_or("_l").alias("_l"), F.bool_or("_r").alias("_r"))
+
+
 def key_intersection(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Distinct keys present on both sides."""
-    return left.select(key).intersect(right.select(key))
+    return _presence(left, right, key).where("_l AND _r").select(key)
 
 
 def key_difference(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Distinct keys of ``left`` missing from ``right``."""
-    return left.select(key).subtract(right.select(key))
+    return _presence(left, right, key).where("_l AND NOT _r").select(key)
 
 
 def leaked_keys(train: DataFrame, test: DataFrame, key: str) -> DataFrame:
     """Test keys that were also trained on; empty for a clean split."""
-    return distinct_keys(test, key).join(train.select(key), key, "left_semi")
+    return semi_known(distinct_keys(test, key), train, key)
 
 
 def assert_no_leak(train: DataFrame, test: DataFrame, key: str) -> None:

@@ -89,6 +89,15 @@ def test_left_enrich_keeps_row_count(rows):
     assert {(r.k, r.a, r.v) for r in out.collect()} == {("x", 1, "q"), ("x", 2, "q"), ("y", 3, None), (None, 4, None)}
 
 
+def test_salted_enrich_gives_the_same_rows(spark):
+    # one key holds a third of the left rows
+    left = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("a"))
+    right = spark.range(0, 3000, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    plain, salted = (jn.left_enrich(left, right, "k", [F.col("v")], salt=n) for n in (1, 8))
+    assert salted.columns == plain.columns and salted.count() == 3000
+    assert ky.row_difference(plain, salted).count() == 0
+
+
 def test_left_override_copies_null(rows):
     left = rows("k string, a string, b int", ("x", "old", 1), ("y", "old", 2))
     right = rows("k string, a string", ("x", "new"))
