@@ -17,7 +17,8 @@ from caselabel.operators.aggregates import category_counts
 from caselabel.operators.scoring import score_with_lexicon_table
 from caselabel.plans.refresh import prepare, refresh
 from caselabel.plans.weekly import score_both
-from caselabel.streaming.incremental import incremental_batch
+from caselabel.session import workspace
+from caselabel.streaming.incremental import incremental_batch, run_available
 
 WITH_NORM = f"WITH {ro.NORM_SQL}"
 SEG = ro.score_sql("seguimiento", "sg")
@@ -313,6 +314,30 @@ def incremental_run(t):
     return rounded(out.select("NDD", "delitos_seguimiento", "score"), "score")
 
 
+@query(
+    "incremental_stream",
+    f"""{WITH_NORM}, {SEG} SELECT n.NDD, CASE WHEN words >= 50 THEN sg.label ELSE 'N/A' END AS delitos_seguimiento,
+    round(CASE WHEN words >= 50 THEN sg.score ELSE 0.0 END, 6) AS score FROM norm n LEFT JOIN sg USING (NDD)""",
+)
+def incremental_stream(t):
+    """The document files as a stream: all that have arrived are scored and stored."""
+    scorer, spark = t.scorer("seguimiento", "relato"), t.spark
+    target, checkpoint = workspace(spark, "stream-out"), workspace(spark, "stream-checkpoint")
+
+    def arrived(documents):
+        return prepare(t.cases_from(documents).select("NDD", "RELATO"), F.col("RELATO"))
+
+    def process(fresh):
+        return lo.gate_and_score(fresh, scorer, "cantidad_palabras", "delitos_seguimiento", "score").select(
+            "NDD", "delitos_seguimiento", "score"
+        )
+
+    run_available(
+        spark, t.path("documents*"), t.documents.schema, target, checkpoint, "NDD", [F.xxhash64("relato")], process, arrived
+    )
+    return rounded(spark.read.parquet(target).drop("batch_id"), "score")
+
+
 @query("label_distribution", f"""{WITH_NORM}, {SEG} SELECT CASE WHEN ESTADO_ML = 0 AND words >= 50 THEN sg.label WHEN ESTADO_ML = 0 THEN 'OTROS ROBOS' ELSE delitos_seguimiento_predicted END AS label,
     COUNT(*) AS total FROM norm n LEFT JOIN sg USING (NDD) GROUP BY 1 HAVING label IS NOT NULL""")
 def label_distribution(t):

@@ -204,8 +204,11 @@ class Roles:
         self.spark = spark
         self._dir = sf_dir.rstrip("/")
 
+    def path(self, name: str) -> str:
+        return f"{self._dir}/{name}.parquet"
+
     def table(self, name: str) -> DataFrame:
-        path = f"{self._dir}/{name}.parquet"
+        path = self.path(name)
         return read_table(self.spark, path) if name in _NARRATIVES else self.spark.read.parquet(path)
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -224,7 +227,11 @@ class Roles:
     # -- cases ---------------------------------------------------------------
     def cases(self) -> DataFrame:
         """One case per document, narrative as given."""
-        return self.documents.select(
+        return self.cases_from(self.documents)
+
+    @staticmethod
+    def cases_from(documents: DataFrame) -> DataFrame:
+        return documents.select(
             "doc_id",
             "lang",
             "source",

@@ -29,10 +29,13 @@ def run_available(
     key: str,
     order_by: list[Column],
     process: Callable[[DataFrame], DataFrame],
+    prepare: Callable[[DataFrame], DataFrame] = lambda arrived: arrived,
     files_per_batch: int = 1000,
 ) -> None:
     """Process all parquet files that have arrived in ``source`` since the last call.
 
+    ``prepare`` turns arriving rows into cases with the key; ``process`` works on
+    the cases not seen before and keeps the key.
     Results go to ``target`` in one folder per batch.  A batch replayed after a
     failure overwrites its own folder and ignores what it had written, so every
     case is stored once.  Only the keys of earlier batches are read back.
@@ -46,7 +49,7 @@ def run_available(
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             seen = None  # first batch: nothing stored yet
-        result = incremental_batch(batch, seen, key, order_by, process)
+        result = incremental_batch(prepare(batch), seen, key, order_by, process)
         result.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
     query = (
