@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caselabel.llm import line_dedup, mixing
+from caselabel.llm import jaccard_join, line_dedup, mixing
 from caselabel.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_mix_sources", OP6_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query("op8_jaccard_join")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
