@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caselabel.llm import jaccard_join, line_dedup, mixing
+from caselabel.llm import decontaminate, jaccard_join, line_dedup, mixing
 from caselabel.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,11 @@ FROM cut
 """
 
 
+@query("op1_decontaminate")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op5_line_dedup", OP5_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_report(table(spark, sf_dir, "documents"))

@@ -129,7 +129,7 @@ def shingles(found: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     h = found.hash
     n = len(h)
     rolled = np.zeros(n, np.uint64)
-    for j in range(k):  # positions past the end are cut off below
+    for j in range(min(k, n)):  # positions past the end are cut off below
         rolled[: n - j] = rolled[: n - j] * np.uint64(_ODD) + h[j:]
     at = np.repeat(found.first[:-1] - first[:-1], have) + np.arange(first[-1])
     out = mix(rolled[at])
