@@ -233,29 +233,44 @@ def _block_links(sim: Similarity):
 def _rest(shared: DataFrame, comps: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
     """Links between sets that share a segment but stand in different components so far.
 
-    ``shared`` has ``(key, cid, n, low)``; pairs with ``low`` are settled.
+    ``shared`` has ``(key, cid, n, low)``; pairs with ``low`` are settled.  Sets
+    that share an open segment, directly or by others, form a cluster, so each
+    set travels once and not once per segment.  In a cluster only sets of
+    similar size can link: it is cut into bands of sizes, ``2^c`` to ``2^(c+1)``
+    and those around each ``2^c``.  Large bands are compared block by block.
     """
     others = shared.where("cid <> low").select("key", "cid", "n").distinct()
     comps = comps.select(F.col("node").alias("cid"), F.col("component").alias("comp"))
     marked = others.join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     marked = written(marked, "jaccard-open")
-    groups = marked.groupBy("key").agg(
-        F.min("comp").alias("c0"),
-        F.max("comp").alias("c1"),
-        F.count(F.lit(1)).alias("members"),
-        F.max("n").alias("top"),
-        F.bit_xor(F.xxhash64("cid")).alias("who"),
+    keys = marked.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min("cid").alias("b"))
+    open_keys = keys.where("c0 <> c1").select("key", "b")
+    clusters = components(marked.join(open_keys, "key").select(F.col("cid").alias("a"), "b"))
+    members = marked.select("cid", "n", "comp").distinct().join(clusters.select(F.col("node").alias("cid"), F.col("component").alias("cluster")), "cid")
+    power = F.floor(F.log2(F.col("n") + F.lit(0.5)))
+    start = F.pow(F.lit(2), power)
+    bands = F.array_compact(
+        F.array(
+            2 * power,
+            F.when(F.col("n") * sim.num <= start * sim.den, 2 * power - 1),
+            F.when(F.col("n") * sim.den >= 2 * start * sim.num, 2 * power + 1),
+        )
+    )
+    members = written(members.withColumn("band", F.explode(bands)), "jaccard-members")
+    groups = members.groupBy("cluster", "band").agg(
+        F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count(F.lit(1)).alias("members"), F.max("n").alias("top")
     )
-    # Fragments with the same members need one comparison.
-    groups = groups.where("c0 <> c1").groupBy("members", "who", "top").agg(F.min("key").alias("key"))
     per_block = F.greatest(F.lit(2), F.least(F.lit(BLOCK_SETS), F.floor(F.lit(BLOCK_SHINGLES) / F.col("top"))))
     blocks = F.ceil(F.col("members") / per_block).cast("int")
-    placed = marked.join(groups.select("key", blocks.alias("blocks")), "key").withColumn(
+    total = members.count()
+    groups = groups.where("c0 <> c1").select("cluster", "band", blocks.alias("blocks"), "members")
+    placed = hot_join(members, groups, ["cluster", "band"], "members", total).withColumn(
         "own", F.pmod(F.xxhash64(F.lit(1), "cid"), F.col("blocks")).cast("int")
     )
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     placed = placed.select(
-        "key",
+        "cluster",
+        "band",
         F.least("own", "other").alias("i"),
         F.greatest("own", "other").alias("j"),
         (F.col("own") > F.col("other")).cast("int").alias("side"),
@@ -264,7 +279,7 @@ def _rest(shared: DataFrame, comps: DataFrame, sets: DataFrame, sim: Similarity)
         "comp",
     )
     full = placed.join(sets, "cid")
-    return full.groupBy("key", "i", "j").applyInPandas(_block_links(sim), "a long, b long")
+    return full.groupBy("cluster", "band", "i", "j").applyInPandas(_block_links(sim), "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) -> DataFrame:
