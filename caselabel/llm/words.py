@@ -25,6 +25,16 @@ _MASK = (1 << 64) - 1
 _BYTE_VALUE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 
+def fold_ascii(data: np.ndarray) -> np.ndarray:
+    """Bytes with A-Z as a-z."""
+    return _LOWER[data]
+
+
+def blanks(data: np.ndarray) -> np.ndarray:
+    """Where bytes are blank."""
+    return _BLANK[data]
+
+
 class _Powers:
     """Powers of an odd number modulo 2^64 and of its inverse, grown on demand."""
 
