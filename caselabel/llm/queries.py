@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caselabel.llm import decontaminate, jaccard_join, language_id, line_dedup, mixing, quality, toxicity
+from caselabel.llm import decontaminate, jaccard_join, language_id, line_dedup, mixing, quality, token_count, toxicity
 from caselabel.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,6 +83,13 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op4_token_count")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers  # a folder of vocabulary files; only this query needs it
+
+    return token_count.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query("op5_line_dedup", OP5_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_report(table(spark, sf_dir, "documents"))

@@ -89,6 +89,15 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         start = stop
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each span of bytes."""
+    n = len(data)
+    up, down = _POWERS.upto(n + 1)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(_BYTE_VALUE[data] * up[:n], out=total[1:])
+    return mix((total[end] - total[start]) * down[start])
+
+
 @dataclass
 class Words:
     """Words of some texts: byte span, hash, and where each text's words begin."""
@@ -120,12 +129,7 @@ def words(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = _BLANK,
         begins[edges] = inside[edges + 1]
         ends[edges] |= inside[edges]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends)
-    up, down = _POWERS.upto(n + 1)
-    total = np.empty(n + 1, np.uint64)
-    total[0] = 0
-    np.cumsum(_BYTE_VALUE[chars] * up[:n], out=total[1:])
-    hashes = mix((total[end] - total[start]) * down[start])
-    return Words(start + low, end + low, hashes, np.searchsorted(start, own))
+    return Words(start + low, end + low, span_hashes(chars, start, end), np.searchsorted(start, own))
 
 
 def shingles(found: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
