@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from caselabel.llm import words as wd
 from caselabel.llm.logistic import fit_logistic, sigmoid
-from caselabel.llm.samples import bounded_sample, fold_of
+from caselabel.llm.samples import fold_of, labelled_sample
 from caselabel.llm.tables import written
 
 PER_CLASS = 800
@@ -243,11 +243,10 @@ def _sampled_words(piece: pa.Array) -> Iterator[list[bytes]]:
             yield [wd.fold_ascii(data[found.start[j] : found.end[j]]).tobytes() for j in at]
 
 
-def fit(labelled: DataFrame, per_class: int = PER_CLASS) -> Model:
-    """Model from ``labelled`` (``doc_id, text, label``) with label 0 or 1; other labels are left out."""
-    known = labelled.where("label IN (0, 1) AND text IS NOT NULL").select("doc_id", "text", F.col("label").cast("int").alias("label"))
-    chosen = written(bounded_sample(known, "label", per_class, 2 * per_class), "toxicity-sample")
-    sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, per_class: int = PER_CLASS) -> Model:
+    """Model from the texts of ``docs`` (``doc_id, text``) and ``labels`` (``doc_id, toxic``) outside the held-out fold."""
+    chosen, sizes = labelled_sample(docs, labels, "toxic", per_class, folds, held)
+    chosen = written(chosen.select("doc_id", "text", "label"), "toxicity-sample")
     if len(sizes) < 2:
         return Model(constant=float(next(iter(sizes))) if sizes else 0.5)
 
@@ -260,6 +259,8 @@ def fit(labelled: DataFrame, per_class: int = PER_CLASS) -> Model:
     kind = chosen.schema["doc_id"].dataType.simpleString()
     rows = chosen.select("doc_id", "text", "label").mapInArrow(words_of, f"doc_id {kind}, label int, words array<binary>").collect()
     texts = {label: sorted({tuple(map(bytes, r["words"])) for r in rows if r["label"] == label}) for label in (0, 1)}
+    if not (texts[0] and texts[1]):
+        return Model(constant=float(bool(texts[1]))) if rows else Model()
     model = train([list(t) for t in texts[1]], [list(t) for t in texts[0]])
 
     def counts_of(batches):
@@ -297,8 +298,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0,
     ``labels`` has ``doc_id, toxic``.  One row per row of ``docs``.  With labels
     of one class only, that class is every score; without labels it is 0.5.
     """
-    known = labels.where(F.col("toxic").isNotNull() & (fold_of(F.col("doc_id"), folds) != held))
-    known = known.select("doc_id", F.col("toxic").alias("label")).dropDuplicates(["doc_id"])
-    model = fit(docs.select("doc_id", "text").join(known, "doc_id"))
+    model = fit(docs, labels, folds, held)
     held_out = fold_of(F.col("doc_id"), folds) == held
     return score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= bar).cast("int").alias("predicted"))
