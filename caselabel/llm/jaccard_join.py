@@ -29,13 +29,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from caselabel.llm import words as wd
 from caselabel.llm.components import components
-from caselabel.llm.tables import hot_join, written
+from caselabel.llm.tables import hot_join, unused, written
 
 #: Fragments of the order in which partial overlaps are counted.
 PARTS = 4
@@ -115,8 +115,13 @@ def _list(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
 
 
+def text_handle() -> Column:
+    """Tells texts under one id apart."""
+    return F.xxhash64(F.lit("handle"), "text")
+
+
 def signatures(docs: DataFrame, k: int, sim: Similarity) -> DataFrame:
-    """``(doc_id, n, cid, check, keys)`` per row: set size, 128-bit signature of the set, segment keys.
+    """``(doc_id, handle, n, cid, check, keys)`` per row: set size, 128-bit signature of the set, segment keys.
 
     ``cid`` names the class of equal sets.
     """
@@ -134,12 +139,12 @@ def signatures(docs: DataFrame, k: int, sim: Similarity) -> DataFrame:
                     check.append(int(wd.mix(s + np.uint64(0x632BE59BD9B4E019)).sum(dtype=np.uint64).view(np.int64)))
                     keys.append(segment_keys(s, bounds, sim) if len(s) >= bounds[0] else np.zeros(0, np.uint64))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), pa.array(cid, pa.int64()), pa.array(check, pa.int64()), _list(keys)],
-                    ["doc_id", "n", "cid", "check", "keys"],
+                    [part.column(0), part.column(2), pa.array(n, pa.int64()), pa.array(cid, pa.int64()), pa.array(check, pa.int64()), _list(keys)],
+                    ["doc_id", "handle", "n", "cid", "check", "keys"],
                 )
 
-    schema = "doc_id long, n long, cid long, check long, keys array<long>"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sign, schema)
+    schema = "doc_id long, handle long, n long, cid long, check long, keys array<long>"
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_handle().alias("handle")).mapInArrow(sign, schema)
 
 
 def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -283,7 +288,12 @@ def _rest(shared: DataFrame, comps: DataFrame, sets: DataFrame, sim: Similarity)
 
 
 def jaccard_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)`` of every row of ``docs`` (``doc_id, text``).
+    """``(doc_id, n_shingles, component_id)`` of every row of ``docs``; see ``linked_texts``."""
+    return linked_texts(docs, k, num, den).drop("handle")
+
+
+def linked_texts(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) -> DataFrame:
+    """``(doc_id, handle, n_shingles, component_id)`` of every row of ``docs`` (``doc_id, text``).
 
     Texts link when ``den`` times their common shingles is at least ``num``
     times all their shingles.  ``component_id`` is the smallest ``doc_id``
@@ -323,7 +333,37 @@ def jaccard_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 10
     answer = classes.join(of_class, "cid", "left").select(
         "cid", "check", "n", F.coalesce("component_id", "least").alias("component_id"), "copies"
     )
-    keep = rows.select("doc_id", "n", "cid", "check")
+    keep = rows.select("doc_id", "handle", "n", "cid", "check")
     full = hot_join(keep.where("n > 0"), answer, ["cid", "check", "n"], "copies", total)
-    alone = keep.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    return full.select("doc_id", "n", "component_id").unionByName(alone).withColumnRenamed("n", "n_shingles")
+    alone = keep.where("n = 0").select("doc_id", "handle", "n", F.col("doc_id").alias("component_id"))
+    return full.select("doc_id", "handle", "n", "component_id").unionByName(alone).withColumnRenamed("n", "n_shingles")
+
+
+def keep_first(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest ``doc_id``.
+
+    All columns stay.  Of different linked texts under that id one stays, and of
+    equal rows one.  Rows without shingles link with nothing and all stay, as do
+    rows without an id, which can't be told apart.
+    """
+    found = linked_texts(docs, k, num, den).where("n_shingles > 0 AND doc_id IS NOT NULL")
+    texts = found.groupBy("doc_id", "handle").agg(F.min("component_id").alias("component_id"), F.count(F.lit(1)).alias("copies"))
+    texts = written(texts, "jaccard-texts")
+    own = texts.where("doc_id = component_id")
+    winner = own.groupBy("doc_id").agg(F.min("handle").alias("winner"))
+    lost = texts.where("doc_id <> component_id").select("doc_id", "handle")
+    lost = lost.unionByName(own.join(winner, "doc_id").where("handle <> winner").select("doc_id", "handle"))
+    repeated = own.where("copies > 1").select("doc_id", "handle")
+    # The lists are narrow; the texts are shuffled once by id and handle, for all three joins.
+    row, names = unused("handle", docs), docs.columns
+    marked = docs.withColumn(row, text_handle())
+
+    def by_row(keys: DataFrame) -> DataFrame:
+        return keys.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"), F.col("handle").alias(row))
+
+    kept = marked.join(by_row(lost), ["doc_id", row], "left_anti")
+    single = kept.join(by_row(repeated), ["doc_id", row], "left_anti")
+    rank = unused("rank", marked)
+    order = W.partitionBy("doc_id", row).orderBy(F.xxhash64(*(F.col(f"`{c}`") for c in names)))
+    one = kept.join(by_row(repeated), ["doc_id", row], "left_semi").withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1)
+    return single.select(names).unionByName(one.select(names))

@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caselabel.llm import decontaminate, jaccard_join, language_id, line_dedup, mixing, quality, secret_scan, token_count, toxicity
+from caselabel.llm import (
+    decontaminate,
+    embedding_dedup,
+    jaccard_join,
+    language_id,
+    line_dedup,
+    mixing,
+    quality,
+    secret_scan,
+    token_count,
+    toxicity,
+)
 from caselabel.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,6 +94,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op3_embedding_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query("op4_token_count")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers  # a folder of vocabulary files; only this query needs it

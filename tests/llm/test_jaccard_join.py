@@ -98,3 +98,21 @@ def test_similarity_bounds_are_exact():
             common = next(c for c in range(a + 1) if 100 * c >= 90 * (a + b - c))
             most = max(most, a + b - 2 * common)
         assert sim.differences(a) >= most
+
+
+def test_one_row_of_each_component_stays(spark):
+    rows = near_copies(8)
+    comps = brute.jaccard_components(rows, 5, 80, 100)
+    rows += [(2001, None), (2002, ""), (2002, ""), (None, rows[0][1])]
+    same = " ".join(f"s{i}" for i in range(40))
+    rows += [(3001, same), (3001, same), (3001, same + " end"), (3001, "another text under the same id here"), (3000, "not like any of the other ones")]
+    df = spark.createDataFrame([(i, t, 5, "x") for i, t in rows], "doc_id long, text string, handle int, rank string")
+    out = jj.keep_first(df)
+    assert out.columns == df.columns
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    text = dict(rows)
+    want = [(i, t) for i, t in near_copies(8) if comps[i][1] == i]
+    want += [(2001, None), (2002, ""), (2002, ""), (None, rows[0][1]), (3000, text[3000])]
+    under = [t for i, t in got if i == 3001]
+    assert [g for g in got if g[0] != 3001] == sorted(want, key=str)
+    assert len(under) == 1 and under[0] in {same, same + " end", "another text under the same id here"}
