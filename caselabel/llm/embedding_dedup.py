@@ -5,17 +5,19 @@ Vectors are compared only within their group: equal label and equal dimension.
 * **Equal vectors** collapse to a class with a count, so copies cost nothing.
 * **Forest.**  A group above ``MAX_LEAF`` vectors is split by ``TREES`` trees.  A
   node has a random direction, drawn from a seed that names the node, and cuts
-  at the median of a bounded sample of the group; vectors between the quantiles
-  ``0.5 - SPILL`` and ``0.5 + SPILL`` go to both sides.  Leaves that are still
-  too large are split again by a tree of their own, fitted on their own sample.
+  at a place between the quartiles of a bounded sample of the group.  Vectors
+  near the cut go to both sides: the margin is ``SPILL`` times the distance of
+  two vectors that just link.  The cut lies where the fewest do, so a cluster
+  stays whole if it can.  Leaves that are still too large are split again by a
+  tree of their own, fitted on their own sample.
 * **Leaves.**  All pairs of a leaf are compared, by a matrix product, with the
   cosine of the original vectors in double precision.  Every vector carries the
   list of its leaves, so a pair that shares several leaves counts in the first
   of them only.  A leaf gives link counts and a spanning set of its links, both
   no longer than the leaf.
-* **Dense leaves.**  Where much of a sample links, cutting would lose links.
-  Such a leaf is not split; it is compared block against block, exactly, in
-  tasks of bounded size.
+* **Dense leaves.**  Where most vectors are near any cut, or much of a sample
+  links, cutting would lose links or gain nothing.  Such a leaf is not split; it
+  is compared block against block, exactly, in tasks of bounded size.
 * **Union.**  The spanning links go to the connected components in Spark.
 
 Groups up to ``MAX_LEAF`` and dense leaves are compared in full; the others are
@@ -38,7 +40,9 @@ from caselabel.llm.tables import hot_join, written
 LEAST_COSINE = 0.93
 TREES = 8
 LEAF, MAX_LEAF = 512, 2048
-SPILL = 0.06
+SPILL = 0.5
+#: Largest share of a node's sample near the cut.
+MOST_SPILL = 0.5
 #: Sampled vectors of a group, the most levels fitted on them at once, and the rounds of splitting.
 SAMPLE, LEVELS, ROUNDS = 2048, 7, 6
 #: Share of linked pairs in the sample from which a leaf is dense, and the block size there.
@@ -75,20 +79,24 @@ def _members(unit: np.ndarray, directions: np.ndarray, bands: np.ndarray, levels
     return now
 
 
-def fit_tree(unit: np.ndarray, gid: int, tree: int, levels: int, spill: float) -> np.ndarray:
-    """Lower and upper cut of every node, from a sample."""
+def fit_tree(unit: np.ndarray, gid: int, tree: int, levels: int, margin: float) -> np.ndarray:
+    """Lower and upper cut of every node, from a sample; a node that is not split sends all to its first side."""
     directions = _directions(gid, tree, levels, unit.shape[1])
-    bands = np.zeros((len(directions), 2))
+    bands = np.full((len(directions), 2), np.inf)
     place = unit @ directions.T
     now = [np.arange(len(unit))]
     for level in range(levels):
         below = []
         for i, rows in enumerate(now):
             node = (1 << level) - 1 + i
-            values = place[rows, node]
-            if len(values):
-                bands[node] = np.quantile(values, [0.5 - spill, 0.5 + spill])
-            below += [rows[values <= bands[node, 1]], rows[values > bands[node, 0]]]
+            values = np.sort(place[rows, node])
+            if len(values) > 1:
+                cuts = np.quantile(values, np.linspace(0.25, 0.75, 11))
+                near = np.searchsorted(values, cuts + margin) - np.searchsorted(values, cuts - margin)
+                best = int(np.lexsort((np.abs(np.arange(11) - 5), near))[0])
+                if near[best] <= MOST_SPILL * len(values):
+                    bands[node] = cuts[best] - margin, cuts[best] + margin
+            below += [rows[place[rows, node] <= bands[node, 1]], rows[place[rows, node] > bands[node, 0]]]
         now = below
     return bands
 
@@ -102,10 +110,11 @@ def _fits(sample: DataFrame, trees: int, bar: float, spill: float) -> DataFrame:
         gid, members = int(rows["gid"].iat[0]), int(rows["members"].iat[0])
         near = unit[:512] @ unit[:512].T >= bar
         pairs = max(1, len(near) * (len(near) - 1))
-        dense = trees == 1 and (near.sum() - len(near)) / pairs >= DENSE
+        margin = spill * np.sqrt(max(0.0, 2 - 2 * bar))
         levels = max(1, min(LEVELS, int(np.ceil(np.log2(members / LEAF))), int(np.log2(max(2, len(unit) // 8)))))
-        bands = [fit_tree(unit, gid, t, levels, spill).tobytes() for t in range(trees)]
-        return pd.DataFrame({"gid": [gid], "dense": [bool(dense)], "levels": [levels], "bands": [b"".join(bands)]})
+        bands = [fit_tree(unit, gid, t, levels, margin) for t in range(trees)]
+        dense = trees == 1 and ((near.sum() - len(near)) / pairs >= DENSE or np.isinf(bands[0][0, 0]))
+        return pd.DataFrame({"gid": [gid], "dense": [bool(dense)], "levels": [levels], "bands": [b"".join(b.tobytes() for b in bands)]})
 
     return sample.groupBy("gid").applyInPandas(fit, "gid long, dense boolean, levels int, bands binary")
 
@@ -120,7 +129,10 @@ def _assigned(rows: DataFrame, trees: int) -> DataFrame:
                 unit = _unit(_vectors(part["vec"]))
                 bands = np.frombuffer(raw, np.float64).reshape(trees, -1, 2)
                 cid = part["cid"].to_numpy()
-                for t in range(trees):
+                whole = [t for t in range(trees) if np.isinf(bands[t][0, 0])]
+                if whole:  # trees that don't split have one leaf in common
+                    yield pd.DataFrame({"cid": cid, "gid": np.full(len(cid), gid), "tree": np.full(len(cid), -1, np.int32), "slot": np.zeros(len(cid), np.int32)})
+                for t in sorted(set(range(trees)) - set(whole)):
                     row, leaf = np.nonzero(_members(unit, _directions(int(gid), t, levels, unit.shape[1]), bands[t], levels))
                     yield pd.DataFrame({"cid": cid[row], "gid": np.full(len(row), gid), "tree": np.full(len(row), t, np.int32), "slot": leaf.astype(np.int32)})
 
