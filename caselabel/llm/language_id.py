@@ -49,8 +49,7 @@ def presence(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     buckets = 1 << BUCKET_BITS
     grid = np.zeros((len(texts), buckets), np.uint8)
     flat = grid.reshape(-1)
-    inside = np.ones(len(points), bool)
-    inside[first[1:] - 1] = False  # the separator belongs to no n-gram
+    inside = points != 10  # line breaks and the separator belong to no n-gram
     code = np.zeros(len(points), np.uint32)
     for p in range(SPECTRUM):
         n = len(points) - p
