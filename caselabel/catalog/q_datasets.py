@@ -11,8 +11,8 @@ from caselabel.functions import text as tx
 from caselabel.operators import datasets as ds
 
 _HASH = "md5('42#' || NDD)"
-_SPLIT_SQL = f"""SELECT NDD, lang, CASE WHEN b < 7000 THEN 'train' WHEN b < 9000 THEN 'valid' ELSE 'test' END AS split
-  FROM (SELECT {ro.NDD_SQL} AS NDD, lang, CAST('0x' || substring(md5('42#' || {ro.NDD_SQL}), 1, 8) AS BIGINT) % 10000 AS b FROM documents)"""
+_SPLIT_SQL = f"""SELECT NDD, lang, CASE WHEN b < 3006477107 THEN 'train' WHEN b < 3865470566 THEN 'valid' ELSE 'test' END AS split
+  FROM (SELECT {ro.NDD_SQL} AS NDD, lang, CAST('0x' || substring(md5('42#' || {ro.NDD_SQL}), 1, 8) AS BIGINT) AS b FROM documents)"""
 
 
 @query(

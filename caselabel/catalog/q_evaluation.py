@@ -20,7 +20,7 @@ pairs AS (SELECT NDD, {ro.norm_label_sql('delitos_seguimiento_comision')} AS y_t
   WHERE delitos_seguimiento_comision IS NOT NULL AND {ro.norm_label_sql('delitos_seguimiento_comision')} <> 'SIN INFORMACION')"""
 
 
-def pairs(t):
+def pairs(t, *also):
     scored = lo.gate_and_score(t.norm(), t.scorer("seguimiento"), "words", "delitos_seguimiento", "score")
     return ev.evaluation_pairs(
         scored.select("NDD", "delitos_seguimiento"),
@@ -32,12 +32,12 @@ def pairs(t):
         "ROBO",
         vocab.NO_INFORMATION,
         [F.col(c) for c in _ORDER],
+        also,
     )
 
 
 def monthly(t):
-    months = t.commission().select("NDD", F.date_format("FechaRegistroComision", "yyyy-MM").alias("mes"))
-    return pairs(t).join(months, "NDD")
+    return pairs(t, "FechaRegistroComision").withColumn("mes", F.date_format("FechaRegistroComision", "yyyy-MM"))
 
 
 @query("eval_prepare", f"{PAIRS_SQL} SELECT NDD, y_true, y_pred FROM pairs")

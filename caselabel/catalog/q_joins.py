@@ -154,19 +154,19 @@ def left_join_where_right(t):
 
 @query(
     "train_test_leak",
-    """SELECT DISTINCT sha256(text) AS digest FROM benchmark
-    WHERE text IN (SELECT text FROM documents) OR text IN (SELECT text FROM conversations)""",
+    """SELECT DISTINCT sha256(text) AS digest FROM documents
+    WHERE doc_id % 5 = 0 AND text IN (SELECT text FROM documents WHERE doc_id % 5 <> 0)""",
 )
 def train_test_leak(t):
-    digest = tx.text_digest(F.col("text")).alias("digest")
-    train = t.documents.select(digest).unionByName(t.conversations.select(digest))
-    return ky.leaked_keys(train, t.benchmark.select(digest), "digest")
+    """A split by id alone: texts that have copies on both sides leak."""
+    digested = t.documents.select(tx.text_digest(F.col("text")).alias("digest"), (F.col("doc_id") % 5 == 0).alias("test"))
+    return ky.leaked_keys(digested.where("NOT test"), digested.where("test").select("digest"), "digest")
 
 
 @query(
     "train_test_leak_split",
-    f"""WITH s AS (SELECT {ro.NDD_SQL} AS NDD, CAST(('0x' || substring(md5('42#' || {ro.NDD_SQL}), 1, 8)) AS BIGINT) % 10000 AS b FROM documents)
-    SELECT COUNT(*) AS leaked FROM (SELECT NDD FROM s WHERE b >= 9000 INTERSECT SELECT NDD FROM s WHERE b < 7000)""",
+    f"""WITH s AS (SELECT {ro.NDD_SQL} AS NDD, CAST(('0x' || substring(md5('42#' || {ro.NDD_SQL}), 1, 8)) AS BIGINT) AS b FROM documents)
+    SELECT COUNT(*) AS leaked FROM (SELECT NDD FROM s WHERE b >= 3865470566 INTERSECT SELECT NDD FROM s WHERE b < 3006477107)""",
 )
 def train_test_leak_split(t):
     split = ds.split_hash(t.cases().select("NDD"), "NDD")

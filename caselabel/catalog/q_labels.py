@@ -201,6 +201,22 @@ def merge_snapshots(t):
     return rounded(dated(out, "FechaActualizacion", fmt="yyyy-MM-dd HH:mm:ss"), "score_delitos_seguimiento", "score_delitos_validados")
 
 
+@query(
+    "merge_snapshots_one_model",
+    f"""{MERGED_SQL}, one AS (SELECT m.NDD, m.cantidad_palabras, m.n_text, m.delitos_seguimiento, m.score_delitos_seguimiento,
+    p.delitos_validados, round(p.score_delitos_validados, 6) AS score_delitos_validados, m.FechaActualizacion, 'n-' || p.NDD AS nota
+    FROM merged m LEFT JOIN p USING (NDD))
+    SELECT *, CASE WHEN delitos_seguimiento = delitos_validados THEN 'OK' ELSE 'CHECK' END AS compare FROM one""",
+)
+def merge_snapshots_one_model(t):
+    cases = prepare(t.cases().select("NDD", "RELATO"), F.col("RELATO")).select("NDD", "relato", "cantidad_palabras")
+    previous = t.previous().withColumn("nota", F.concat(F.lit("n-"), "NDD"))
+    scorers = {"delitos_seguimiento": t.scorer("seguimiento", "relato")}
+    out = refresh(cases, previous, scorers, ro.RUN_TIME, [F.col("FechaActualizacion"), F.xxhash64("relato")])
+    out = out.withColumn("n_text", F.length("relato").cast("bigint")).drop("relato")
+    return rounded(dated(out, "FechaActualizacion", fmt="yyyy-MM-dd HH:mm:ss"), "score_delitos_seguimiento", "score_delitos_validados")
+
+
 @query(
     "refresh_all",
     f"""{WITH_NORM}, {SEG}, {VAL} SELECT n.NDD, CAST(words AS INTEGER) AS cantidad_palabras, {_gated('delitos_seguimiento', 'sg')}, CASE WHEN words >= 50 THEN va.label ELSE 'N/A' END AS delitos_validados,

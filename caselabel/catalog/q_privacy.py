@@ -26,7 +26,7 @@ def mask_key_hex(t):
     return t.customer.select("c_custkey", pp.masked_hex(F.col("c_name"), ro.SECRET).alias("mascara"))
 
 
-@query("mask_names", f"""SELECT c_custkey, 'nombre_' || {_mask_sql('c_name')} AS "NOMBRE_OFUZCADO" FROM customer""")
+@query("mask_names", f"""SELECT c_custkey, 'nombre_' || sha256('{ro.SECRET}' || c_name) AS "NOMBRE_OFUZCADO" FROM customer""")
 def mask_names(t):
     return pv.mask_names(t.customer, "c_name", ro.SECRET).select("c_custkey", "NOMBRE_OFUZCADO")
 

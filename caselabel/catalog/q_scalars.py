@@ -49,7 +49,7 @@ def word_count_space(t):
 
 @query(
     "word_count_ws",
-    f"SELECT NDD, CAST(COALESCE(len(list_filter(regexp_split_to_array(RELATO, '\\s+'), lambda x: x <> '')), 0) AS INTEGER) AS palabras FROM ({ro.CASES_SQL})",
+    f"SELECT NDD, CAST(COALESCE(len(list_filter(regexp_split_to_array(RELATO, '{ro.BLANKS}+'), lambda x: x <> '')), 0) AS INTEGER) AS palabras FROM ({ro.CASES_SQL})",
 )
 def word_count_ws(t):
     return t.cases().select("NDD", tx.word_count_ws(F.col("RELATO")).alias("palabras"))
@@ -63,7 +63,7 @@ def word_count_regex(t):
     return t.cases().select("NDD", tx.word_count_regex(F.col("RELATO")).alias("palabras"))
 
 
-@query("collapse_spaces", f"SELECT NDD, trim(regexp_replace(RELATO, '\\s+', ' ', 'g')) AS RELATO FROM ({ro.CASES_SQL})")
+@query("collapse_spaces", f"SELECT NDD, trim(regexp_replace(RELATO, '{ro.BLANKS}+', ' ', 'g')) AS RELATO FROM ({ro.CASES_SQL})")
 def collapse_spaces(t):
     return t.cases().select("NDD", tx.collapse_spaces(F.col("RELATO")).alias("RELATO"))
 
@@ -180,12 +180,11 @@ def weekday_names(t):
 
 @query(
     "spss_timestamp",
-    "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS fecha FROM orders",
+    """SELECT event_id, strftime(TIMESTAMP '1582-10-14 00:00:00' + to_seconds(13600000000 + event_id * 7919), '%Y-%m-%d %H:%M:%S') AS fecha FROM events""",
 )
 def spss_timestamp(t):
-    seconds = F.datediff("o_orderdate", F.lit("1582-10-14").cast("date")).cast("double") * 86400
-    stamped = t.orders.select("o_orderkey", seconds.alias("spss"))
-    return stamped.select("o_orderkey", F.date_format(da.from_spss(F.col("spss")), "yyyy-MM-dd HH:mm:ss").alias("fecha"))
+    seconds = (F.lit(13_600_000_000) + F.col("event_id") * 7919).cast("double")
+    return t.events.select("event_id", F.date_format(da.from_spss(seconds), "yyyy-MM-dd HH:mm:ss").alias("fecha"))
 
 
 @query(
@@ -194,7 +193,13 @@ def spss_timestamp(t):
     WHEN hour(ts) < 18 THEN '12:00 - 17:59' ELSE '18:00 - 23:59' END AS banda FROM events""",
 )
 def hour_band(t):
-    time = F.when(F.col("event_type") == "error", "sin hora").otherwise(F.date_format("ts", "HH:mm:ss"))
+    short = F.concat(F.hour("ts").cast("string"), F.lit(":"), F.date_format("ts", "mm"))
+    time = (
+        F.when(F.col("event_type") == "error", "sin hora")
+        .when(F.col("event_type") == "view", F.date_format("ts", "HH:mm:ss.SSSSSS"))
+        .when(F.col("event_type") == "purchase", short)
+        .otherwise(F.date_format("ts", "HH:mm:ss"))
+    )
     return t.events.select("event_id", da.hour_band(time).alias("banda"))
 
 
@@ -261,7 +266,7 @@ def _duration_sql(seconds: str) -> str:
 @query(
     "duration_text",
     f"""SELECT p_partkey, {_duration_sql('s')} AS dhms, printf('%dh %ds', s // 3600, s % 3600) AS hs,
-    printf('%dw %dd', s // 604800, (s % 604800) // 86400) AS wd FROM (SELECT p_partkey, CAST(p_retailprice * 100 AS BIGINT) * 7 AS s FROM part)""",
+    printf('%dw %dd', s // 604800, (s % 604800) // 86400) AS wd, printf('%dd %dh', s * 60 // 86400, (s * 60 % 86400) // 3600) AS de_minutos FROM (SELECT p_partkey, CAST(p_retailprice * 100 AS BIGINT) * 7 AS s FROM part)""",
 )
 def duration_text(t):
     seconds = F.col("s")
@@ -271,6 +276,7 @@ def duration_text(t):
         da.duration_text(seconds).alias("dhms"),
         da.duration_text(seconds, "{H}h {S}s").alias("hs"),
         da.duration_text(seconds, "{W}w {D}d").alias("wd"),
+        da.duration_text(seconds, "{D}d {H}h", unit="m").alias("de_minutos"),
     )
 
 

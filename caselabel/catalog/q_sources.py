@@ -108,13 +108,22 @@ def scan_sample(t):
     return tables.sample_first(t.cases().select("NDD", "RELATO"))
 
 
-@query("scan_csv_typed", f"{WITH_NORM} SELECT NDD, RELATO, CAST(words AS INTEGER) AS palabras FROM norm WHERE RELATO <> ''")
+# Whole raw texts, line breaks, quotes and all, with NULL and empty ones among them.
+_RAW_SQL = f"""SELECT {ro.NDD_SQL} AS NDD, CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 7 = 1 THEN '' ELSE text END AS RELATO,
+  CAST(n_chars AS INTEGER) AS palabras FROM documents"""
+
+
+def raw_texts(t):
+    text = F.when(F.col("doc_id") % 7 == 0, None).when(F.col("doc_id") % 7 == 1, "").otherwise(F.col("text"))
+    key = tx.zero_pad_key(F.col("doc_id").cast("string"))
+    return t.documents.select(key.alias("NDD"), text.alias("RELATO"), F.col("n_chars").cast("int").alias("palabras"))
+
+
+@query("scan_csv_typed", _RAW_SQL)
 def scan_csv_typed(t):
-    path = workspace(t.spark, "typed-csv")
-    out = t.norm().where("RELATO <> ''").select("NDD", "RELATO", F.col("words").alias("palabras"))
-    out.write.option("header", True).csv(path)
-    read = files.read_csv_typed(t.spark, path, "NDD string, RELATO string, palabras int")
-    return read.where("_corrupt_record IS NULL").drop("_corrupt_record")
+    path = sinks.save_csv(raw_texts(t), workspace(t.spark, "typed-csv"), "cases", ro.RUN_TIME.date())
+    read = files.read_csv_typed(t.spark, path, "NDD string, RELATO string, palabras int", multiline=True)
+    return read.drop("_corrupt_record")
 
 
 @query(
@@ -143,7 +152,7 @@ def scan_typed_labelled(t):
     t.customer.select(F.col("c_mktsegment").alias("relato"), F.lit("C").alias("labels")).write.option(
         "header", True
     ).csv(test)
-    read = files.read_labelled_splits(t.spark, {"train": train, "test": test})
+    read = files.read_labelled_splits(t.spark, {"train": train, "test": test}).drop("_corrupt_record")
     ids = class_ids(read, "labels").withColumnRenamed("label", "labels")
     return read.join(ids, "labels").select("relato", "labels", "split", "id")
 
@@ -193,7 +202,7 @@ weekly AS (SELECT NDD, CAST(words AS INTEGER) AS CANTIDAD_PALABRAS, seg AS delit
     WHEN words < 50 AND ESTADO_ML = 0 AND r_val IS DISTINCT FROM 'REVIEW_LABEL' THEN r_val ELSE val END AS delitos_validados_unified_siaf,
   CASE WHEN delitos_validados_unified_siaf IS NOT NULL THEN delitos_validados_unified_siaf_origin
     WHEN words < 50 AND ESTADO_ML = 0 AND r_val IS DISTINCT FROM 'REVIEW_LABEL' THEN 'SIAF' ELSE 'MODEL' END AS delitos_validados_unified_siaf_origin,
-  st AS ESTADO_ML FROM mapped)"""
+  st AS ESTADO_ML, (SELECT max(FechaRegistroComision) FROM commission) AS FechaCorteComision FROM mapped)"""
 WEEKLY_ROUNDED = """SELECT * REPLACE (round(delitos_seguimiento_predicted_score, 6) AS delitos_seguimiento_predicted_score,
   round(delitos_validados_predicted_score, 6) AS delitos_validados_predicted_score) FROM weekly"""
 _STAMPS = ("FechaActualizacionDelitosSeguimiento", "FechaActualizacionDelitosValidados")
@@ -205,7 +214,7 @@ def weekly(t):
 
 
 def weekly_text(df):
-    return rounded(dated(df, *_STAMPS, fmt="yyyy-MM-dd HH:mm:ss"), *_SCORES)
+    return rounded(dated(dated(df, *_STAMPS, fmt="yyyy-MM-dd HH:mm:ss"), "FechaCorteComision"), *_SCORES)
 
 
 @query("weekly_run", f"{WEEKLY_SQL} {WEEKLY_ROUNDED}")
@@ -219,14 +228,10 @@ def save_table(t):
     return weekly_text(t.spark.read.parquet(path))
 
 
-@query("save_csv", f"{WITH_NORM} SELECT NDD, RELATO, CAST(words AS INTEGER) AS palabras FROM norm WHERE RELATO <> ''")
+@query("save_csv", _RAW_SQL)
 def save_csv(t):
-    out = t.norm().where("RELATO <> ''").select("NDD", "RELATO", F.col("words").alias("palabras"))
-    path = sinks.save_csv(out, workspace(t.spark, "csv"), "cases", ro.RUN_TIME.date())
-    return t.spark.read.schema("NDD string, RELATO string, palabras int").option("header", True).csv(path)
-
-
-_UPDATED_TARGETS = [c for c in UPDATED if c in ro.CASE_COLUMNS]
+    path = sinks.save_csv(raw_texts(t), workspace(t.spark, "csv"), "cases", ro.RUN_TIME.date(), escape_lines=True)
+    return files.read_csv_typed(t.spark, path, "NDD string, RELATO string, palabras int", escaped_lines=True).drop("_corrupt_record")
 
 
 @query(
@@ -251,6 +256,17 @@ def update_from(t):
     )
 
 
+@query(
+    "update_from_all_columns",
+    f"""{WEEKLY_SQL}, r AS ({WEEKLY_ROUNDED}) SELECT c.NDD, {', '.join(f'r."{c}"' for c in UPDATED)}, c.DELITO_DESAGREGACION
+    FROM cases c LEFT JOIN r USING (NDD)""",
+)
+def update_from_all_columns(t):
+    cases = t.cases().drop("lang", "source", "n_chars", "doc_id", "RELATO")
+    updated = apply_update(cases, weekly(t))
+    return weekly_text(updated).select("NDD", *UPDATED, "DELITO_DESAGREGACION")
+
+
 @query(
     "update_from_copies_nulls",
     f"""SELECT c.NDD, CASE WHEN m.NDD IS NOT NULL THEN m.delitos_seguimiento ELSE c.delitos_seguimiento_predicted END AS delitos_seguimiento_predicted

@@ -18,7 +18,6 @@ from caselabel.operators import keys as ky
 from caselabel.operators.scoring import Lexicon, score_with_lexicon
 from caselabel.sources.tables import read_commission, read_table
 
-_NARRATIVES = ("documents", "pages")
 RUN_TIME = dt.datetime(2024, 2, 1, 8, 0, 0)
 SECRET = "not-a-real-secret"
 
@@ -141,8 +140,12 @@ COMMISSION_SQL = f"""SELECT NDD, Tipo_Delito_PJ AS Tipo_Delito_PJ_comision, deli
   FROM ({COMMISSION_RAW_SQL}) WHERE Tipo_Delito_PJ = 'ROBO'"""
 
 
+#: Blanks of every kind, in a form that both engines' patterns take.
+BLANKS = "[\\s\\p{Z}\\x0B\\x1C-\\x1F\\x85]"
+
+
 def norm_label_sql(column: str) -> str:
-    return f"translate(upper(trim({column})), 'ÁÉÍÓÚ', 'AEIOU')"
+    return f"translate(upper(regexp_replace({column}, '^{BLANKS}+|{BLANKS}+$', '', 'g')), 'ÁÉÍÓÚ', 'AEIOU')"
 
 
 def score_sql(scheme: str, name: str, texts: str = "norm") -> str:
@@ -208,8 +211,7 @@ class Roles:
         return f"{self._dir}/{name}.parquet"
 
     def table(self, name: str) -> DataFrame:
-        path = self.path(name)
-        return read_table(self.spark, path) if name in _NARRATIVES else self.spark.read.parquet(path)
+        return read_table(self.spark, self.path(name))
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):

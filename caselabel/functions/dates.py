@@ -51,8 +51,13 @@ def from_spss(seconds: Column) -> Column:
 
 
 def hour_band(time: Column) -> Column:
-    """Six-hour band of a ``HH:mm:ss`` text; ``S.D.`` when it is not a time."""
-    hour = F.hour(F.try_to_timestamp(time, F.lit("HH:mm:ss")))
+    """Six-hour band of a time of day; ``S.D.`` when the text is not one.
+
+    ``7:05``, ``07:05:59`` and fractions of a second are times, so no moment of
+    the day falls between two bands.
+    """
+    shaped = time.rlike(r"^\s*([01]?[0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9](\.[0-9]*)?)?\s*$")
+    hour = F.when(shaped, F.regexp_extract(time, r"^\s*([0-9]+):", 1).try_cast("int"))
     return (
         F.when(hour < 6, "00:00 - 05:59")
         .when(hour < 12, "06:00 - 11:59")
@@ -62,12 +67,17 @@ def hour_band(time: Column) -> Column:
     )
 
 
-def duration_text(seconds: Column, layout: str = "{D:02}d {H:02}h {M:02}m {S:02}s") -> Column:
+def duration_text(value: Column, layout: str = "{D:02}d {H:02}h {M:02}m {S:02}s", unit: str = "s") -> Column:
     """Write a duration with the units named in ``layout`` (W, D, H, M, S).
 
-    The largest unit present takes all that is left, as in ``{H}h {S}s`` giving
-    ``72h 800s``.  A width may follow the unit: ``{D:2}`` or ``{M:02}``.
+    ``value`` counts units of ``unit``: s, m, h, d or w, in any case; a fraction
+    is kept to the second.  The largest unit present takes all that is left, as
+    in ``{H}h {S}s`` giving ``30h 90s``.  A width may follow the unit: ``{D:2}``
+    or ``{M:02}``.
     """
+    if unit.upper() not in _UNITS:
+        raise ValueError(f"unit {unit!r} is not one of s, m, h, d, w")
+    seconds = value * _UNITS[unit.upper()]
     rest = seconds.cast("bigint")
     wanted = set(re.findall(r"\{([WDHMS])", layout))
     values = {}

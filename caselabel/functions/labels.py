@@ -8,11 +8,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from caselabel import vocab
+from caselabel.functions.text import BLANK
 
 
 def normalize_label(label: Column) -> Column:
-    """Trim, upper-case and drop the accent of vowels; inner spaces stay."""
-    return F.translate(F.upper(F.trim(label)), "ÁÉÍÓÚ", "AEIOU")
+    """Trim blanks of every kind, upper-case and drop the accent of vowels; inner blanks stay."""
+    bare = F.regexp_replace(label, rf"^{BLANK}+|{BLANK}+$", "")
+    return F.translate(F.upper(bare), "ÁÉÍÓÚ", "AEIOU")
 
 
 def agreement(left: Column, right: Column) -> Column:

@@ -11,11 +11,11 @@ from caselabel import vocab
 def age_group(age: Column) -> Column:
     """Life-stage group with closed integer bounds; other values have no group."""
     return (
-        F.when(age.between(0, 11), "NIÑ@S (DE 0 A 11 AÑOS)")
-        .when(age.between(12, 17), "ADOLESCENTES (DE 12 A 17 AÑOS)")
-        .when(age.between(18, 29), "JÓVENES (DE 18 A 29 AÑOS)")
-        .when(age.between(30, 64), "ADULTOS (DE 30 A 64 AÑOS)")
-        .when(age.between(65, 100), "ADULTOS MAYORES (DESDE 65 AÑOS)")
+        F.when(age.between(0, 11), vocab.AGE_GROUPS[0])
+        .when(age.between(12, 17), vocab.AGE_GROUPS[1])
+        .when(age.between(18, 29), vocab.AGE_GROUPS[2])
+        .when(age.between(30, 64), vocab.AGE_GROUPS[3])
+        .when(age.between(65, 100), vocab.AGE_GROUPS[4])
         .otherwise(vocab.NO_INFORMATION)
     )
 
@@ -24,12 +24,12 @@ def age_band(age: Column) -> Column:
     """Age band with half-open bounds up to 100."""
     return (
         F.when((age < 0) | (age > 100), vocab.NO_INFORMATION)
-        .when(age < 15, "MENORES DE 15 AÑOS")
-        .when(age < 25, "ENTRE 15 Y 24 AÑOS")
-        .when(age < 35, "ENTRE 25 Y 34 AÑOS")
-        .when(age < 45, "ENTRE 35 Y 44 AÑOS")
-        .when(age < 65, "ENTRE 45 Y 64 AÑOS")
-        .when(age <= 100, "MAYORES DE 65 AÑOS")
+        .when(age < 15, vocab.AGE_BANDS[0])
+        .when(age < 25, vocab.AGE_BANDS[1])
+        .when(age < 35, vocab.AGE_BANDS[2])
+        .when(age < 45, vocab.AGE_BANDS[3])
+        .when(age < 65, vocab.AGE_BANDS[4])
+        .when(age <= 100, vocab.AGE_BANDS[5])
         .otherwise(vocab.NO_INFORMATION)
     )
 
@@ -38,8 +38,8 @@ def is_minor(age: Column) -> Column:
     """Minor, adult or, for a negative or missing age, no information."""
     return (
         F.when(age.isNull() | (age < 0), vocab.NO_INFORMATION)
-        .when(age < 18, "MENOR DE EDAD")
-        .otherwise("MAYOR DE EDAD")
+        .when(age < 18, vocab.MINOR)
+        .otherwise(vocab.ADULT)
     )
 
 
@@ -82,8 +82,8 @@ def masked_hex(value: Column, secret: str) -> Column:
 
 
 def masked_name(value: Column, secret: str, prefix: str = "nombre_") -> Column:
-    """Repeatable pseudonym ``nombre_<digits>``."""
-    return F.concat(F.lit(prefix), masked_digits(value, secret))
+    """Repeatable pseudonym ``nombre_<hash>``; names need no fixed width, so the whole hash is kept."""
+    return F.concat(F.lit(prefix), masked_hex(value, secret))
 
 
 def _keyed(value: Column, secret: str) -> Column:

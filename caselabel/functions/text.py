@@ -17,6 +17,10 @@ from caselabel import vocab
 # than one long negated class.
 _NOT_NARRATIVE = r"[\P{Alnum}&&[^áéíóúñ]]+"
 
+# fixed value: what separates words, with the no-break, em and other Unicode spaces.
+_BLANKS = r"\s\p{Z}\x0B\x1C-\x1F\x85"
+BLANK, NOT_BLANK = f"[{_BLANKS}]", f"[^{_BLANKS}]"
+
 
 def once(value: Column, use: Callable[[Column], Column]) -> Column:
     """Apply ``use`` to a value that is costly to compute and used several times.
@@ -45,8 +49,8 @@ def word_count_space(text: Column) -> Column:
 
 
 def word_count_ws(text: Column) -> Column:
-    """Runs of non-blank characters; empty and NULL text count 0."""
-    return F.coalesce(F.regexp_count(text, F.lit(r"\S+")), F.lit(0))
+    """Runs of non-blank characters, blanks as Unicode has them; empty and NULL text count 0."""
+    return F.coalesce(F.regexp_count(text, F.lit(NOT_BLANK + "+")), F.lit(0))
 
 
 def word_count_regex(text: Column) -> Column:
@@ -55,8 +59,8 @@ def word_count_regex(text: Column) -> Column:
 
 
 def collapse_spaces(text: Column) -> Column:
-    """Trim and turn every run of blanks into one space."""
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+    """Trim and turn every run of blanks, as Unicode has them, into one space."""
+    return F.trim(F.regexp_replace(text, BLANK + "+", " "))
 
 
 def ascii_only(text: Column) -> Column:

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-_BUCKETS = 10_000
+# The hash split compares the first 32 bits of the hash with the shares.
+_HASH_RANGE = 1 << 32
 # Rank buckets of the exact split: 2**16, from the first 4 hex digits of the hash.
 _RANK_DIGITS = 4
 
@@ -37,13 +38,14 @@ def split_hash(
 ) -> DataFrame:
     """Add ``train``/``valid``/``test`` from the key's hash; a map-side step.
 
-    Copies of a key share a side, and adding rows moves none that exist.
+    Copies of a key share a side, and adding rows moves none that exist.  Shares
+    are kept to one part in 2^32.
     """
     check_proportions(proportions)
-    bucket = F.pmod(F.conv(F.substring(key_hash(F.col(key), seed), 1, 8), 16, 10).cast("bigint"), F.lit(_BUCKETS))
-    train = round(proportions[0] * _BUCKETS)
-    valid = round((proportions[0] + proportions[1]) * _BUCKETS)
-    return df.withColumn(out, F.when(bucket < train, "train").when(bucket < valid, "valid").otherwise("test"))
+    place = F.conv(F.substring(key_hash(F.col(key), seed), 1, 8), 16, 10).cast("bigint")
+    train = round(proportions[0] * _HASH_RANGE)
+    valid = round((proportions[0] + proportions[1]) * _HASH_RANGE)
+    return df.withColumn(out, F.when(place < train, "train").when(place < valid, "valid").otherwise("test"))
 
 
 def split_exact(

@@ -160,14 +160,16 @@ def evaluation_pairs(
     offence_value: str,
     missing: str,
     order_by: list[Column],
+    also: tuple[str, ...] = (),
 ) -> DataFrame:
     """Predictions beside the commission's label, both normalised: ``(key, y_true, y_pred)``.
 
-    Only cases of the offence type with a real commission label are kept.
+    Only cases of the offence type with a real commission label are kept.  The
+    commission's columns in ``also`` come along, from the row that counts.
     """
     theirs = commission.where(F.col(offence) == offence_value)
     paired = jn.left_enrich(predictions, theirs, key, order_by)
     out = paired.select(
-        key, lb.normalize_label(F.col(true)).alias("y_true"), lb.normalize_label(F.col(predicted)).alias("y_pred")
+        key, lb.normalize_label(F.col(true)).alias("y_true"), lb.normalize_label(F.col(predicted)).alias("y_pred"), *also
     )
     return out.where(F.col("y_true").isNotNull() & (F.col("y_true") != missing))

@@ -128,11 +128,12 @@ def unify_registry(
 
 
 def recode(df: DataFrame, column: str, mapping: DataFrame, out: str | None = None) -> DataFrame:
-    """Replace labels by a fixed ``(raw_label, label)`` table; others pass through.
+    """Replace labels by a ``(raw_label, label)`` table; others pass through.
 
-    The table is a closed vocabulary of the package, hence the broadcast.
+    Of repeated raw labels the least label counts, so rows never multiply.  The
+    planner measures the table and broadcasts it if it is small.
     """
-    table = F.broadcast(mapping.select(F.col("raw_label").alias("_raw"), F.col("label").alias("_mapped")))
+    table = mapping.groupBy(F.col("raw_label").alias("_raw")).agg(F.min("label").alias("_mapped"))
     joined = df.join(table, F.col(column) == F.col("_raw"), "left")
     return joined.withColumn(out or column, F.coalesce(F.col("_mapped"), F.col(column))).drop("_raw", "_mapped")
 

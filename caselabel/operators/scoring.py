@@ -10,18 +10,17 @@ from pyspark.sql import functions as F
 
 from caselabel import vocab
 
-# A lexicon up to this many entries is written into the plan; larger ones are joined.
-MAX_INLINE_ENTRIES = 5000
-
 
 class Lexicon:
-    """Weighted tokens per label, small enough to live inside the plan."""
+    """Weighted tokens per label, written into the plan.
+
+    A plan grows with its lexicon; from some thousands of entries on a table and
+    ``score_with_lexicon_table`` are the better choice, which is the caller's.
+    """
 
     def __init__(self, entries: Iterable[tuple[str, str, int]], default: str = vocab.OTHER):
         self.entries = tuple(entries)
         self.default = default
-        if len(self.entries) > MAX_INLINE_ENTRIES:
-            raise ValueError(f"more than {MAX_INLINE_ENTRIES} entries: use score_with_lexicon_table")
         if any(w <= 0 or w != int(w) for _, _, w in self.entries):
             raise ValueError("weights are positive integers, so that sums are exact")
 
@@ -96,30 +95,29 @@ def score_with_lexicon_table(
 ) -> DataFrame:
     """Same scores from a lexicon of any size, as ``(key, label, score)``.
 
-    ``lexicon`` has ``token, label, weight``.  Tokens are counted per case
-    before they are shuffled, and both sides carry a salt derived from the key
-    so that one very common token spreads over ``salt`` partitions.  The planner
-    broadcasts the lexicon on its own when its size allows.
+    ``lexicon`` has ``token, label, weight``.  A text's different tokens are
+    counted inside its row, so a token is shuffled once per text, and both
+    sides carry a salt derived from the key so that one very common token
+    spreads over ``salt`` partitions.  Only tokens that the lexicon knows go on
+    from there, to sums per case.  Texts without one are found by a join of the
+    keys alone.
     """
-    counted = (
-        df.select(F.col(key).alias("_k"), F.explode_outer(F.split(F.col(text), " ")).alias("token"))
-        .groupBy("_k", "token")
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("_salt", F.pmod(F.xxhash64("_k"), F.lit(salt)))
+    # Sorted tokens: where the next one differs, a run ends; its length is the distance to the run before.
+    texts = df.select(F.col(key).alias("_k"), F.array_sort(F.split(F.col(text), " ")).alias("_t"))
+    places = F.sequence(F.lit(0), F.size("_t") - 1)
+    texts = texts.withColumn("_e", F.filter(places, lambda i: ~F.col("_t")[i].eqNullSafe(F.get("_t", i + 1))))
+    runs = F.transform(
+        "_e", lambda e, j: F.struct(F.get("_t", e).alias("token"), (e - F.coalesce(F.get("_e", j - 1), F.lit(-1))).alias("copies"))
     )
+    counted = texts.select("_k", F.inline(runs))
+    counted = counted.withColumn("_salt", F.pmod(F.xxhash64("_k"), F.lit(salt)))
     salted = lexicon.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<bigint>")))
-    sums = (
-        counted.join(salted, ["token", "_salt"], "left")
-        .groupBy("_k", "label")
-        .agg(F.sum(F.col("copies") * F.col("weight")).alias("s"), F.bool_or(F.col("token").isNotNull()).alias("has"))
-    )
+    sums = counted.join(salted, ["token", "_salt"]).groupBy("_k", "label").agg(F.sum(F.col("copies") * F.col("weight")).alias("s"))
     rank = F.struct((-F.col("s")).alias("neg"), F.col("label").alias("label"))
-    best = sums.groupBy("_k").agg(
-        F.min(F.when(F.col("label").isNotNull(), rank)).alias("best"),
-        F.sum("s").alias("evidence"),
-        F.bool_or("has").alias("has"),
-    )
-    return best.select(
+    best = sums.groupBy("_k").agg(F.min(rank).alias("best"), F.sum("s").alias("evidence"))
+    keys = df.select(F.col(key).alias("_k"), F.col(text).isNotNull().alias("has"))
+    keys = keys.groupBy("_k").agg(F.bool_or("has").alias("has"))
+    return keys.join(best, "_k", "left").select(
         F.col("_k").alias(key),
         F.when(F.col("has"), F.coalesce("best.label", F.lit(default))).alias(label),
         F.when(F.col("has"), F.coalesce(-F.col("best.neg") / F.col("evidence"), F.lit(0.0))).alias(score),

@@ -18,8 +18,13 @@ def update_from(target: DataFrame, source: DataFrame, key: str, columns: list[st
     """New version of ``target`` where matched rows take ``columns`` from ``source``.
 
     Values are copied as they are, NULL included; unmatched rows and all other
-    columns stay.  Write the result to a new path and swap.
+    columns stay.  A column that either side lacks is an error.  Write the
+    result to a new path and swap.
     """
+    for side, frame in (("target", target), ("source", source)):
+        missing = [c for c in columns if c not in frame.columns]
+        if missing:
+            raise ValueError(f"the {side} has no column {', '.join(missing)}")
     last = ky.dedupe_last(source.where(F.col(key).isNotNull()), [key], order_by, keep=columns)
     values = last.select(key, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_hit"))
     joined = target.join(values, key, "left")
@@ -81,8 +86,12 @@ def carried_columns(schemes: Iterable[str]) -> list[str]:
 def attach_previous(
     current: DataFrame, previous: DataFrame, key: str, schemes: Iterable[str], order_by: list[Column]
 ) -> DataFrame:
-    """Set the previous predictions (``_old_...``) beside each case; ``_seen`` marks known keys."""
+    """Set what comes from the previous snapshot (``_old_...``) beside each case; ``_seen`` marks known keys.
+
+    These are the predictions and every column that only the previous snapshot has.
+    """
     carried = carried_columns(schemes)
+    carried += [c for c in previous.columns if c not in (*carried, key, *current.columns)]
     last = ky.dedupe_last(previous.where(F.col(key).isNotNull()), [key], order_by, keep=carried)
     old = last.select(key, *[F.col(c).alias(f"_old_{c}") for c in carried], F.lit(True).alias("_seen"))
     return current.join(old, key, "left").withColumn("_seen", F.coalesce("_seen", F.lit(False)))
@@ -91,15 +100,20 @@ def attach_previous(
 def settle(attached: DataFrame, previous_columns: Iterable[str], schemes: Iterable[str], run_time) -> DataFrame:
     """Previous prediction for known keys, current one for new keys.
 
-    Columns the previous snapshot does not have are dropped, the update time is
-    ``run_time`` for new keys, and when both schemes ran the agreement flag is
-    computed from the settled labels.
+    Columns the previous snapshot does not have are dropped; columns that only
+    it has, among them the labels of a scheme that did not run, come from the
+    previous row and are NULL for new keys.  The update time is ``run_time`` for
+    new keys.  Where both labels exist, the agreement flag is computed anew from
+    the settled labels.
     """
     carried = carried_columns(schemes)
+    previous_columns = list(previous_columns)
     now = attached.withColumn("FechaActualizacion", F.lit(run_time).cast("timestamp"))
     kept = [c for c in now.columns if c in set(previous_columns)]
+    only_previous = [c for c in previous_columns if c not in now.columns and f"_old_{c}" in now.columns]
     out = now.select(
-        *[F.when(F.col("_seen"), F.col(f"_old_{c}")).otherwise(F.col(c)).alias(c) if c in carried else F.col(c) for c in kept]
+        *[F.when(F.col("_seen"), F.col(f"_old_{c}")).otherwise(F.col(c)).alias(c) if c in carried else F.col(c) for c in kept],
+        *[F.col(f"_old_{c}").alias(c) for c in only_previous],
     )
     if {"delitos_seguimiento", "delitos_validados"} <= set(out.columns):
         out = out.withColumn("compare", lb.agreement(F.col("delitos_seguimiento"), F.col("delitos_validados")))

@@ -63,7 +63,8 @@ def weekly_run(
     """Key and updated columns of every case, ready for ``update_from``.
 
     The narrative is dropped right after scoring, so the joins that follow
-    shuffle labels and states but never the text.
+    shuffle labels and states but never the text.  The commission's latest
+    registration date, a scalar subquery, is the cutoff date of every case.
     """
     out = score_both(cases, scorers, run_time)
     out = out.drop("RELATO")
@@ -85,6 +86,8 @@ def weekly_run(
             "_member",
             "ESTADO_ML_SEGUIMIENTO_UNIFIED_COMISION",
         )
+        if "FechaRegistroComision" in commission.columns:
+            out = out.withColumn("FechaCorteComision", commission.select(F.max("FechaRegistroComision")).scalar())
     if registry:
         for scheme in ("seguimiento", "validados"):
             raw = f"DELITO_DESAGREGACION_{scheme.upper()}"
@@ -101,6 +104,8 @@ def weekly_run(
 
 
 def apply_update(cases: DataFrame, result: DataFrame) -> DataFrame:
-    """Case table with the run's columns written over the old ones."""
-    columns = [c for c in UPDATED if c in cases.columns and c in result.columns]
+    """Case table with the run's columns written over the old ones; columns it lacks are added."""
+    columns = [c for c in UPDATED if c in result.columns]
+    lacking = {c: F.lit(None).cast(result.schema[c].dataType) for c in columns if c not in cases.columns}
+    cases = cases.withColumns(lacking) if lacking else cases
     return sn.update_from(cases, result, "NDD", columns, [F.col("ESTADO_ML")])

@@ -4,28 +4,66 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caselabel.functions import text as tx
 
+#: How a missing text is written, so that empty text can stay empty.
+NULL_FIELD = "\\N"
 
-def read_csv_typed(spark: SparkSession, path, schema: T.StructType | str, header: bool = True) -> DataFrame:
-    """CSV with a given schema; keys stay text, bad lines land in ``_corrupt_record``."""
+
+def read_csv_typed(
+    spark: SparkSession,
+    path,
+    schema: T.StructType | str,
+    header: bool = True,
+    multiline: bool = False,
+    escaped_lines: bool = False,
+) -> DataFrame:
+    """CSV with a given schema; keys stay text, bad lines land in ``_corrupt_record``.
+
+    An unquoted empty field or ``\\N`` is NULL and ``""`` is empty text.  Texts with line
+    breaks need one of two options: ``multiline`` reads breaks inside quotes,
+    each file in one task; ``escaped_lines`` undoes what ``save_csv`` did with
+    its own option, and large files stay splittable.
+    """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     schema = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-    return (
+    read = (
         spark.read.schema(schema)
         .option("header", header)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .option("multiLine", False)
+        .option("multiLine", multiline)
         .option("quote", '"')
         .option("escape", '"')
+        .option("nullValue", NULL_FIELD)
+        .option("emptyValue", "")
         .csv(path)
     )
+    if not escaped_lines:
+        return read
+    texts = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType) and f.name != "_corrupt_record"]
+    return read.withColumns({c: unescape_lines(F.col(c)) for c in texts})
+
+
+def escape_lines(text: Column) -> Column:
+    """Line breaks as ``\\n`` and ``\\r``, backslashes doubled."""
+    out = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    return F.replace(F.replace(out, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+
+def unescape_lines(text: Column) -> Column:
+    """The text that ``escape_lines`` was given."""
+    parts = F.transform(
+        F.split(text, r"\\\\", -1),
+        lambda x: F.replace(F.replace(x, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")),
+    )
+    # A doubled backslash separates the parts; what is left of single ones starts a break.
+    return F.when(text.isNotNull(), F.array_join(parts, "\\"))
 
 
 def read_yearly_files(
@@ -52,10 +90,10 @@ def read_yearly_files(
 
 
 def read_labelled_splits(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """Labelled text ``(relato, labels, split)`` from one CSV per split."""
+    """Labelled text ``(relato, labels, split, _corrupt_record)`` from one CSV per split."""
     out = None
     for split, path in paths.items():
-        part = read_csv_typed(spark, path, "relato string, labels string")
-        part = part.select("relato", "labels", F.lit(split).alias("split"))
+        part = read_csv_typed(spark, path, "relato string, labels string", multiline=True)
+        part = part.select("relato", "labels", F.lit(split).alias("split"), "_corrupt_record")
         out = part if out is None else out.unionByName(part)
     return out

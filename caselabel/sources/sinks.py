@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caselabel.sources import files
+
 
 def save_table(df: DataFrame, path: str, partition_by: list[str] | None = None, rows_per_file: int = 0) -> str:
     """Replace the parquet table at ``path``; never the one ``df`` reads from."""
@@ -27,10 +29,19 @@ def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
     df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
 
 
-def save_csv(df: DataFrame, folder: str, name: str, run_date: dt.date) -> str:
-    """Write ``<folder>/<name>-<yyyy-mm-dd>`` as CSV with header."""
+def save_csv(df: DataFrame, folder: str, name: str, run_date: dt.date, escape_lines: bool = False) -> str:
+    """Write ``<folder>/<name>-<yyyy-mm-dd>`` as CSV with header.
+
+    Missing texts and empty texts stay apart.  ``escape_lines`` writes line
+    breaks as two characters, so that every record is one line and large files
+    can be split; ``read_csv_typed`` undoes it.
+    """
     path = f"{folder.rstrip('/')}/{name}-{run_date.isoformat()}"
-    df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    if escape_lines:
+        texts = [c for c, kind in df.dtypes if kind == "string"]
+        df = df.withColumns({c: files.escape_lines(F.col(c)) for c in texts})
+    writer = df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
+    writer.option("nullValue", files.NULL_FIELD).option("emptyValue", '""').csv(path)
     return path
 
 

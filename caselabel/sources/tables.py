@@ -21,9 +21,12 @@ def read_jdbc(
 ) -> DataFrame:
     """Read a database table; the caller brings the connection options.
 
-    With a numeric, date or timestamp ``partition_column`` the table is read in
-    parallel ranges, which replaces paging with LIMIT/OFFSET and key chunks.
+    With a numeric, date or timestamp ``partition_column`` and the ``bounds`` of
+    its values the table is read in parallel ranges, which replaces paging with
+    LIMIT/OFFSET and key chunks.  Without them one task reads it.
     """
+    if (partition_column is None) != (bounds is None):
+        raise ValueError("partition_column and bounds go together")
     reader = spark.read.format("jdbc").options(**options).option("dbtable", table).option("fetchsize", fetch_size)
     if partition_column:
         low, high = bounds
@@ -37,14 +40,12 @@ def read_jdbc(
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet table, spread over the cores when it has fewer splits than there are cores.
+    """Parquet table as it lies.
 
-    Work on narratives is bound by CPU, so a small table in one file would keep
-    one core busy.  A table with enough splits is read as it is, unshuffled.
+    Split sizes are the session's business (``spark.sql.files.maxPartitionBytes``
+    and ``minPartitionNum``): tables are never shuffled just to spread them.
     """
-    table = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+    return spark.read.parquet(path)
 
 
 def read_cases(

@@ -204,3 +204,21 @@ def party_role_table(spark: SparkSession) -> DataFrame:
     """Raw party role and its group: ``(raw_role, role)``."""
     rows = [(raw, role) for role, raws in PARTY_ROLES.items() for raw in raws]
     return spark.createDataFrame(rows, "raw_role string, role string")
+
+# fixed values: age texts
+AGE_GROUPS = (
+    "NIÑ@S (DE 0 A 11 AÑOS)",
+    "ADOLESCENTES (DE 12 A 17 AÑOS)",
+    "JÓVENES (DE 18 A 29 AÑOS)",
+    "ADULTOS (DE 30 A 64 AÑOS)",
+    "ADULTOS MAYORES (DESDE 65 AÑOS)",
+)
+AGE_BANDS = (
+    "MENORES DE 15 AÑOS",
+    "ENTRE 15 Y 24 AÑOS",
+    "ENTRE 25 Y 34 AÑOS",
+    "ENTRE 35 Y 44 AÑOS",
+    "ENTRE 45 Y 64 AÑOS",
+    "MAYORES DE 65 AÑOS",
+)
+MINOR, ADULT = "MENOR DE EDAD", "MAYOR DE EDAD"

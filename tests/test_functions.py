@@ -108,20 +108,24 @@ def test_spss_epoch(spark):
 
 
 def test_hour_band(spark):
-    times = ["00:00:00", "05:59:59", "06:00:00", "11:59:59", "12:00:00", "17:59:59", "18:00:00", "23:59:59", "xx", None]
+    times = ["00:00:00", "05:59:59", "06:00:00", "11:59:59", "12:00:00", "17:59:59", "18:00:00", "23:59:59", "05:59:59.5", "7:05", "24:00", "xx", None]
     assert values(spark, da.hour_band, *times) == [
         "00:00 - 05:59", "00:00 - 05:59", "06:00 - 11:59", "06:00 - 11:59", "12:00 - 17:59", "12:00 - 17:59",
-        "18:00 - 23:59", "18:00 - 23:59", "S.D.", "S.D.",
+        "18:00 - 23:59", "18:00 - 23:59", "00:00 - 05:59", "06:00 - 11:59", "S.D.", "S.D.", "S.D.",
     ]
 
 
 def test_duration_text(spark):
-    seconds = 5 * 86400 + 8 * 3600 + 4 * 60 + 2
-    assert values(spark, da.duration_text, seconds, 0, None, dtype="bigint") == ["05d 08h 04m 02s", "00d 00h 00m 00s", None]
-    assert values(spark, lambda c: da.duration_text(c, "{H}h {S}s"), 72 * 3600 + 800, dtype="bigint") == ["72h 800s"]
-    weeks = 4 * 604800 + 5 * 86400 + 8 * 3600 + 4 * 60 + 2
-    assert values(spark, lambda c: da.duration_text(c, "{W}w {D}d {H}:{M:02}:{S:02}"), weeks, dtype="bigint") == ["4w 5d 8:04:02"]
-    assert values(spark, lambda c: da.duration_text(c, "{D:2}d"), seconds, dtype="bigint") == [" 5d"]
+    seconds = 3 * 86400 + 17 * 3600 + 9 * 60 + 41
+    assert values(spark, da.duration_text, seconds, 0, None, dtype="bigint") == ["03d 17h 09m 41s", "00d 00h 00m 00s", None]
+    assert values(spark, lambda c: da.duration_text(c, "{H}h {S}s"), 30 * 3600 + 90, dtype="bigint") == ["30h 90s"]
+    weeks = 2 * 604800 + 86400 + 23 * 3600 + 7
+    assert values(spark, lambda c: da.duration_text(c, "{W}w {D}d {H}:{M:02}:{S:02}"), weeks, dtype="bigint") == ["2w 1d 23:00:07"]
+    assert values(spark, lambda c: da.duration_text(c, "{D:2}d"), seconds, dtype="bigint") == [" 3d"]
+    for unit, count in (("m", 90.0), ("H", 1.5), ("d", 0.0625), ("w", 0.0625 / 7)):
+        assert values(spark, lambda c, u=unit: da.duration_text(c, "{H}:{M:02}", u), count, dtype="double") == ["1:30"]
+    with pytest.raises(ValueError):
+        da.duration_text(F.col("x"), unit="y")
 
 
 def test_ages(spark):
@@ -172,3 +176,10 @@ def test_masks(spark):
     assert values(spark, lambda c: pp.masked_name(c, "s"), "Ana")[0].startswith("nombre_")
     with pytest.raises(ValueError):
         pp.masked_digits(F.col("x"), "")
+
+
+def test_blanks_of_every_kind(spark):
+    text = "\u00a0 uno\u2003dos\t\n tres\x0bcuatro\u00a0"
+    assert values(spark, tx.word_count_ws, text, "\u00a0", None) == [4, 0, 0]
+    assert values(spark, tx.collapse_spaces, text) == ["uno dos tres cuatro"]
+    assert values(spark, lb.normalize_label, " \tRobo  de vehículos\n\u00a0") == ["ROBO  DE VEHICULOS"]
