@@ -11,124 +11,153 @@ from caselabel.catalog import roles as ro
 from caselabel.catalog.registry import dated, query
 from caselabel.operators import cases as cs
 
-_PHASE_COLUMNS = ("Fecha_IP_Inicio", "Fecha_IP_Fin", "Fecha_INS_Inicio", "Fecha_INS_Fin")
 _VALID = f"(SELECT * FROM ({ro.HEADERS_SQL}) WHERE estado = 1 AND anulada = 'NO')"
+_STAGE_SQL = """CASE fso_etapas WHEN 265 THEN 'INVESTIGACION PREVIA' WHEN 266 THEN 'INSTRUCCION FISCAL' WHEN 267 THEN 'PREPARATORIA DE JUICIO'
+  WHEN 268 THEN 'JUICIO' WHEN 1065 THEN 'IMPUGNACION' ELSE 'SIN ACCIONES' END"""
+_COUNTS_SQL = ", ".join(
+    f"(SELECT COUNT(*) FROM pt WHERE pt.NDD = h.NDD AND inv_estado = 1 AND inv_idtipo IN ({', '.join(map(str, codes))})) AS {name}"
+    for name, codes in vocab.PARTY_COUNTS.items()
+)
+_TASKS_SQL = """(SELECT COUNT(DISTINCT tarea) FROM tk WHERE tk.NDD = h.NDD AND tk.estado = 1 AND proceso IN (SELECT proceso FROM pr WHERE estado = 1)) AS IMPULSOS_DILIGENCIAS"""
+_IMPULSES_SQL = "(SELECT COUNT(*) FROM pr WHERE pr.NDD = h.NDD AND pr.estado = 1) AS IMPULSOS"
+_ACTIONS_SQL = f"Ultima_accion, Fecha_Ultima_Accion, {_COUNTS_SQL}, numeroinf, ti.r_name AS Tipo_incidente"
+_RELATO_SQL = "regexp_replace(obserinc, '<[^>]*>', '', 'g') AS Relato"
+
 
+def _phase_sql(fn: str, column: str, phase: str, name: str, unit: str) -> str:
+    return f"(SELECT {fn}({column}) FROM ph WHERE ph.NDD = h.NDD {unit} AND estado = 1 AND fase = '{phase}') AS {name}"
 
-def _detail_sql(which: str, extra: str) -> str:
-    counts = ", ".join(
-        f"(SELECT COUNT(*) FROM pt WHERE pt.NDD = h.NDD AND inv_estado = 1 AND inv_idtipo IN ({', '.join(map(str, codes))})) AS {name}"
-        for name, codes in vocab.PARTY_COUNTS.items()
+
+_SAME_UNIT = "AND ph.unidad = a.unidad"
+_PHASES_SQL = ", ".join(
+    _phase_sql("max", c, p, n, _SAME_UNIT)
+    for p, c, n in (
+        ("IP", "inicio", "Fecha_IP_Inicio"),
+        ("IP", "fin", "Fecha_IP_Fin"),
+        ("INS", "inicio", "Fecha_INS_Inicio"),
+        ("INS", "fin", "Fecha_INS_Fin"),
+        ("INS", "tiempo", "Tiempo_INS"),
     )
-    dates = ", ".join(
-        f"(SELECT max({col}) FROM ph WHERE ph.NDD = h.NDD AND ph.unidad = a.unidad AND estado = 1 AND fase = '{fase}') AS Fecha_{fase}_{name}"
-        for fase in ("IP", "INS")
-        for col, name in (("inicio", "Inicio"), ("fin", "Fin"))
+)
+_SPAN_SQL = ", ".join(
+    _phase_sql(f, c, p, n, "")
+    for f, p, c, n in (
+        ("min", "IP", "inicio", "ind_fecha_ini"),
+        ("max", "IP", "fin", "ind_fecha_fin"),
+        ("min", "INS", "inicio", "ins_fecha_inicio"),
+        ("max", "INS", "fin", "ins_fecha_cierre"),
     )
-    return f"""WITH h AS {_VALID}, u AS ({ro.UNITS_SQL}), pt AS ({ro.PARTIES_SQL}), ph AS ({ro.PHASES_SQL}),
+)
+
+
+def _detail_sql(which: str, *columns: str) -> str:
+    return f"""WITH h AS {_VALID}, u AS ({ro.UNITS_SQL}), pt AS ({ro.PARTIES_SQL}), ph AS ({ro.PHASES_SQL}), pr AS ({ro.PROCEEDINGS_SQL}), tk AS ({ro.TASKS_SQL}),
     a AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY NDD ORDER BY fso_fecha DESC, unidad DESC, fso_orden DESC) AS rn
       FROM ({ro.ASSIGNMENTS_SQL}) WHERE {which} AND unidad IN (SELECT unidad FROM u)) WHERE rn = 1),
     act AS (SELECT * FROM (SELECT {ro.KEY.format('l_orderkey')} AS NDD, l_returnflag AS Ultima_accion, strftime(l_shipdate, '%Y-%m-%d') AS Fecha_Ultima_Accion,
       row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_returnflag DESC) AS rn FROM lineitem) WHERE rn = 1)
-    SELECT h.NDD, Fecha_Registro, CASE WHEN tentativa = 'N' THEN 'No' ELSE 'Si' END AS Tentativa, r.r_name AS Presunto_Delito, Fiscalia, PROVINCIA, Canton,
-    CASE WHEN tipodelito = 0 THEN 'No Flagrante' ELSE 'Flagrante' END AS NyF,
-    CASE fso_etapas WHEN 265 THEN 'INVESTIGACION PREVIA' WHEN 266 THEN 'INSTRUCCION FISCAL' WHEN 267 THEN 'PREPARATORIA DE JUICIO'
-      WHEN 268 THEN 'JUICIO' WHEN 1065 THEN 'IMPUGNACION' ELSE 'SIN ACCIONES' END AS Etapa_procesal,
-    COALESCE(s.r_name, 'POR APERTURAR INVETIGACION PREVIA') AS Estado_Procesal, Ultima_accion, Fecha_Ultima_Accion, {counts}, {dates} {extra}
+    SELECT h.NDD, Fecha_Registro, Hora_Registro, Fecha_Incidente, Hora_Incidente, CASE WHEN tentativa = 'N' THEN 'No' ELSE 'Si' END AS Tentativa,
+    direccion AS "Direccion", r.r_name AS Presunto_Delito, 'Art. ' || r.r_name AS "Presunto Delito (Circunstancia Modificatoria)", o.s_name AS Fiscalia,
+    u.especialidad AS Fiscalia_Especializada, ci.n_name AS Ciudad, u.provincia AS "PROVINCIA", ca.n_name AS Canton, 'P ' || pa.n_name AS Parroquia, ti.r_name AS Tipo,
+    CASE WHEN tipodelito = 0 THEN 'No Flagrante' ELSE 'Flagrante' END AS NyF, 'Fiscalia ' || u.numero AS numero_fiscalia, u.edificio AS edificio,
+    u.fiscal AS nombre_fiscal, CASE fuero WHEN 'F' THEN 'PENAL' WHEN 'O' THEN 'TRANSITO' END AS "Fuero", {_STAGE_SQL} AS Etapa_procesal,
+    COALESCE(s.r_name, 'POR APERTURAR INVETIGACION PREVIA') AS Estado_Procesal, {', '.join(columns)}
     FROM h JOIN a USING (NDD) JOIN u ON u.unidad = a.unidad JOIN region r ON r.r_regionkey + 1 = h.infraccion
-    LEFT JOIN act ON act.NDD = h.NDD LEFT JOIN region s ON s.r_regionkey = a.estado_procesal"""
+    LEFT JOIN act ON act.NDD = h.NDD LEFT JOIN region s ON s.r_regionkey = a.estado_procesal
+    LEFT JOIN supplier o ON o.s_suppkey = fiscalias LEFT JOIN nation ci ON ci.n_nationkey = ciudades
+    LEFT JOIN nation ca ON lpad(CAST(ca.n_nationkey AS VARCHAR), 4, '0') = substring(parroquias, 1, 4) AND ca.n_regionkey <> 4
+    LEFT JOIN nation pa ON lpad(CAST(pa.n_nationkey AS VARCHAR), 4, '0') || '01' = parroquias LEFT JOIN region ti ON ti.r_regionkey + 1 = tipoincidente
+    LEFT JOIN region pi ON pi.r_regionkey = provincias LEFT JOIN nation cn ON lpad(CAST(cn.n_nationkey AS VARCHAR), 4, '0') = cantones"""
 
 
-def _detail(t, which, extra=()):
-    out = cs.case_detail(
-        t.headers(), t.assignments(), t.units(), t.offences(), t.states(), t.parties(), t.last_actions(), t.phases(), which, extra
-    )
-    return dated(out, "Fecha_Registro", "Fecha_Ultima_Accion", *_PHASE_COLUMNS)
+_DAYS = ("Fecha_Registro", "Fecha_Incidente", "Fecha_Ultima_Accion")
 
 
-@query("case_detail", _detail_sql("fso_estado < 3", ""))
+@query(
+    "case_detail",
+    _detail_sql(
+        "fso_estado < 3", "fecha_estado AS Fecha_estado_procesal", _TASKS_SQL, _IMPULSES_SQL, _ACTIONS_SQL, _PHASES_SQL, _RELATO_SQL,
+        "pi.r_name AS PROVINCIA_INCIDENTE", "cn.n_name AS CANTON_INCIDENTE",
+    ),
+)
 def case_detail(t):
-    return _detail(t, cs.active_assignment())
+    return dated(cs.case_detail(t.case_tables()), *_DAYS, "Fecha_IP_Inicio", "Fecha_IP_Fin", "Fecha_INS_Inicio", "Fecha_INS_Fin")
 
 
-@query("case_detail_merged", _detail_sql("fso_estado = 6", ", fso_acumulado"))
+@query("case_detail_merged", _detail_sql("fso_estado = 6", _TASKS_SQL, _ACTIONS_SQL, _RELATO_SQL, "fso_acumulado"))
 def case_detail_merged(t):
-    return _detail(t, cs.merged_assignment(), ("fso_acumulado",))
-
-
-_PROCEEDINGS_SQL = f"""SELECT {ro.KEY.format('l_orderkey')} AS NDD, l_suppkey AS unidad, l_linenumber AS tipo, l_partkey AS documento, l_linenumber AS impulso,
-  CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE -1 END AS estado_dil, l_partkey AS funcionario FROM lineitem"""
+    return dated(cs.case_detail_merged(t.case_tables()), *_DAYS)
 
 
 @query(
     "proceeding_detail",
-    f"""WITH pr AS ({_PROCEEDINGS_SQL}), u AS ({ro.UNITS_SQL}),
-    doc AS (SELECT NDD, unidad, id AS documento, max(inicio) AS fecha_crea FROM (SELECT {ro.KEY.format('l_orderkey')} AS NDD, l_suppkey AS unidad, l_partkey AS id, strftime(l_shipdate, '%Y-%m-%d') AS inicio FROM lineitem) GROUP BY 1, 2, 3),
-    imp AS (SELECT NDD, unidad, impulso, max(e) AS e FROM (SELECT {ro.KEY.format('l_orderkey')} AS NDD, l_suppkey AS unidad, l_linenumber AS impulso, CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS e FROM lineitem) GROUP BY 1, 2, 3),
-    act AS (SELECT NDD, unidad, max(fso_fecha) AS f FROM ({ro.ASSIGNMENTS_SQL}) WHERE fso_estado < 3 GROUP BY 1, 2)
-    SELECT pr.NDD, CASE WHEN c_custkey IS NULL THEN NULL ELSE c_mktsegment || ' ' || c_name END AS FISCAL, PROVINCIA, Canton, Fiscalia,
-    CASE WHEN estado_dil = 0 THEN 'SOLICITADO' ELSE 'RECIBIDO/ESCANEO' END AS ESTADO_DLIGENCIA, pr.documento AS NUMERO_OFICIO, fecha_crea AS FECHA,
-    pr.impulso AS NO_IMPULSO, r_name AS TIPO_DILIGENCIA, act.f AS FECHA_ASIGNACION
-    FROM pr JOIN region ON r_regionkey = tipo JOIN doc ON doc.NDD = pr.NDD AND doc.unidad = pr.unidad AND doc.documento = pr.documento
-    JOIN imp ON imp.NDD = pr.NDD AND imp.unidad = pr.unidad AND imp.impulso = pr.impulso AND imp.e = 1 JOIN u ON u.unidad = pr.unidad
-    LEFT JOIN customer ON c_custkey = funcionario LEFT JOIN act ON act.NDD = pr.NDD AND act.unidad = pr.unidad WHERE estado_dil <> -1""",
+    f"""WITH u AS ({ro.UNITS_SQL}), pr AS ({ro.PROCEEDINGS_SQL}),
+    rq AS (SELECT {ro.KEY.format('l_orderkey')} AS NDD, l_suppkey AS unidad, l_linenumber AS tipo, l_partkey AS documento, l_orderkey * 10 + l_linenumber AS proceso,
+      CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE -1 END AS estado_dil FROM lineitem),
+    doc AS (SELECT {ro.KEY.format('l_orderkey')} AS NDD, l_suppkey AS unidad, l_partkey AS documento, strftime(max(l_shipdate), '%Y-%m-%d') AS fecha
+      FROM lineitem WHERE l_partkey % 4 <> 0 AND l_partkey % 9 <> 0 GROUP BY 1, 2, 3),
+    fu AS (SELECT c_custkey, c_mktsegment || ' M' || c_nationkey || ' ' || c_name AS nombre FROM customer)
+    SELECT f.nombre AS FISCAL, g.nombre AS SECRETARIO, rq.NDD, u.provincia AS "PROVINCIA", u.canton AS "CANTON", u.edificio AS "EDIFICIO", u.especialidad AS "ESPECIALIDAD",
+    CASE WHEN estado_dil = 0 THEN 'SOLICITADO' ELSE 'RECIBIDO/ESCANEO' END AS ESTADO_DLIGENCIA, 'OF-' || rq.documento AS NUMERO_OFICIO, fecha AS "FECHA",
+    no_resolucion AS NO_IMPULSO, r_name AS TIPO_DILIGENCIA
+    FROM rq JOIN region ON r_regionkey = tipo AND r_regionkey <> 3 JOIN doc ON doc.NDD = rq.NDD AND doc.unidad = rq.unidad AND doc.documento = rq.documento
+    JOIN pr ON pr.NDD = rq.NDD AND pr.unidad = rq.unidad AND pr.proceso = rq.proceso AND pr.estado = 1 JOIN u ON u.unidad = rq.unidad
+    LEFT JOIN fu f ON f.c_custkey = rq.documento LEFT JOIN fu g ON g.c_custkey = rq.documento % 50 WHERE estado_dil <> -1""",
 )
 def proceeding_detail(t):
-    flag, line = F.col("l_returnflag"), F.col("l_linenumber")
-    base = t.lineitem.select(
+    flag, part = F.col("l_returnflag"), F.col("l_partkey")
+    lines = t.lineitem.select(
         t._ndd("l_orderkey"),
         F.col("l_suppkey").alias("unidad"),
-        line.alias("tipo"),
-        F.col("l_partkey").alias("documento"),
-        line.alias("impulso"),
+        F.col("l_linenumber").alias("tipo"),
+        part.alias("documento"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("proceso"),
         F.when(flag == "A", 0).when(flag == "N", 1).otherwise(-1).alias("estado_dil"),
-        F.when(F.col("l_linestatus") == "O", 1).otherwise(0).alias("abierto"),
         F.to_date("l_shipdate").alias("fecha"),
     )
-    proceedings = base.select("NDD", "unidad", "tipo", "documento", "impulso", "estado_dil", F.col("documento").alias("funcionario"))
-    kinds = t.region.select(F.col("r_regionkey").alias("tipo"), F.col("r_name").alias("descripcion_tipo"))
-    documents = base.groupBy("NDD", "unidad", "documento").agg(F.max("fecha").alias("fecha_crea"))
-    impulses = base.groupBy("NDD", "unidad", "impulso").agg(F.max("abierto").alias("estado_impulso"))
+    number = F.col("documento")
+    documents = lines.groupBy("NDD", "unidad", "documento").agg(F.max("fecha").alias("fecha_crea")).select(
+        "NDD",
+        "unidad",
+        "documento",
+        "fecha_crea",
+        F.when(number % 4 == 0, 16).otherwise(17).alias("estado_doc"),
+        F.when(number % 9 == 0, 524).otherwise(525).alias("catalogo"),
+        F.concat(F.lit("OF-"), number).alias("numero"),
+        number.alias("aprobado"),
+        F.concat(F.lit("C"), number % 50).alias("cedula_secretario"),
+    )
+    kinds = t.lookup(t.region, F.col("r_regionkey"), F.col("r_name"), estado=F.when(F.col("r_regionkey") == 3, 0).otherwise(1))
     officials = t.customer.select(
-        F.col("c_custkey").alias("funcionario"), F.col("c_mktsegment").alias("apellido"), F.col("c_name").alias("nombre")
+        F.col("c_custkey").alias("funcionario"),
+        F.concat(F.lit("C"), F.col("c_custkey")).alias("cedula"),
+        F.col("c_mktsegment").alias("paterno"),
+        F.concat(F.lit("M"), F.col("c_nationkey")).alias("materno"),
+        F.col("c_name").alias("nombres"),
     )
-    return cs.proceeding_detail(proceedings, kinds, documents, impulses, t.assignments(), t.units(), officials)
+    return cs.proceeding_detail(kinds, lines.drop("fecha"), documents, t.proceedings(), t.units(), officials)
 
 
 @query(
     "case_state",
-    f"""SELECT DISTINCT h.NDD, CASE fuero WHEN 'F' THEN 'PENAL' WHEN 'O' THEN 'TRANSITO' END AS Fuero,
-    CASE fso_etapas WHEN 265 THEN 'INVESTIGACION PREVIA' WHEN 266 THEN 'INSTRUCCION FISCAL' WHEN 267 THEN 'PREPARATORIA DE JUICIO'
-      WHEN 268 THEN 'JUICIO' WHEN 1065 THEN 'IMPUGNACION' ELSE 'SIN ACCIONES' END AS Etapa_procesal,
+    f"""SELECT DISTINCT h.NDD, CASE fuero WHEN 'F' THEN 'PENAL' WHEN 'O' THEN 'TRANSITO' END AS "Fuero",
+    {_STAGE_SQL} AS Etapa_procesal,
     COALESCE(r_name, 'POR APERTURAR INVETIGACION PREVIA') AS Estado_Procesal
     FROM {_VALID} h JOIN ({ro.ASSIGNMENTS_SQL}) a ON a.NDD = h.NDD AND fso_estado < 3 LEFT JOIN region ON r_regionkey = estado_procesal""",
 )
 def case_state(t):
-    return cs.case_state(t.headers(), t.assignments(), t.courts(), t.states())
+    return cs.case_state(t.headers(), t.assignments(), t.courts(), t.lookup(t.region, F.col("r_regionkey"), F.col("r_name")))
 
 
-@query(
-    "case_activity",
-    f"""WITH l AS (SELECT {ro.KEY.format('l_orderkey')} AS NDD, * FROM lineitem), ph AS ({ro.PHASES_SQL})
-    SELECT NDD, (SELECT COUNT(DISTINCT l_suppkey) FROM l WHERE l.NDD = h.NDD AND l_linestatus = 'O') AS IMPULSOS_DILIGENCIAS,
-    (SELECT COUNT(l_linenumber) FROM l WHERE l.NDD = h.NDD AND l_returnflag <> 'R') AS IMPULSOS,
-    (SELECT min(inicio) FROM ph WHERE ph.NDD = h.NDD AND estado = 1 AND fase = 'IP') AS ind_fecha_ini,
-    (SELECT max(fin) FROM ph WHERE ph.NDD = h.NDD AND estado = 1 AND fase = 'IP') AS ind_fecha_fin,
-    (SELECT min(inicio) FROM ph WHERE ph.NDD = h.NDD AND estado = 1 AND fase = 'INS') AS ins_fecha_inicio,
-    (SELECT max(fin) FROM ph WHERE ph.NDD = h.NDD AND estado = 1 AND fase = 'INS') AS ins_fecha_cierre FROM {_VALID} h""",
-)
+@query("case_activity", _detail_sql("fso_estado < 3", _TASKS_SQL, _IMPULSES_SQL, _ACTIONS_SQL, _SPAN_SQL, _RELATO_SQL))
 def case_activity(t):
-    lines = t.lineitem
-    tasks = lines.select(t._ndd("l_orderkey"), F.col("l_suppkey").alias("tarea"), F.when(F.col("l_linestatus") == "O", 1).otherwise(0).alias("estado"))
-    impulses = lines.select(t._ndd("l_orderkey"), F.col("l_linenumber").alias("impulso"), F.when(F.col("l_returnflag") == "R", 0).otherwise(1).alias("estado"))
-    out = cs.case_activity(t.headers(), tasks, impulses, t.phases())
-    return dated(out, "ind_fecha_ini", "ind_fecha_fin", "ins_fecha_inicio", "ins_fecha_cierre")
+    return dated(cs.case_activity(t.case_tables()), *_DAYS, "ind_fecha_ini", "ind_fecha_fin", "ins_fecha_inicio", "ins_fecha_cierre")
 
 
 _START, _END = dt.date(2024, 1, 5), dt.date(2024, 1, 25)
-_LOG_SQL = """SELECT strftime(ts, '%Y-%m-%d') AS fecha, c_nationkey AS can, user_id, event_type AS tipo, value,
+_LOG_SQL = """SELECT strftime(ts, '%Y-%m-%d') AS fecha, strftime(ts, '%H:%M:%S') AS hora, c_nationkey AS can, user_id, event_type AS tipo, value,
   CASE event_type WHEN 'error' THEN 0 WHEN 'view' THEN 2 WHEN 'purchase' THEN 3 ELSE 1 END AS estado FROM events JOIN customer ON c_custkey = user_id"""
-_STAR_SQL = """JOIN nation ON n_nationkey = can JOIN region ON r_regionkey = n_regionkey JOIN supplier ON s_suppkey = user_id
+_STAR_SQL = """JOIN nation ON n_nationkey = can JOIN region ON r_regionkey = can % 6 JOIN supplier ON s_suppkey = user_id
   {} JOIN (SELECT * FROM (VALUES ('click', 'CONSULTA'), ('signup', 'REGISTRO'), ('purchase', 'CERTIFICACION')) AS v(k, descripcion)) kk ON k = tipo
   LEFT JOIN customer ON c_custkey = user_id WHERE fecha BETWEEN '2024-01-05' AND '2024-01-25'"""
 
@@ -136,21 +165,21 @@ _STAR_SQL = """JOIN nation ON n_nationkey = can JOIN region ON r_regionkey = n_r
 @query(
     "non_offence_visits",
     f"""SELECT fecha AS FECHA, r_name AS PROVINCIA, n_name AS CANTON, s_name AS EDIFICIO, COALESCE(descripcion, 'ATENCION AL PUBLICO') AS NO_DELITO,
-    tipo AS ABREVIADO, c_name AS NOMBRE FROM ({_LOG_SQL}) {_STAR_SQL.format('LEFT')} AND estado IN (1, 2)""",
+    tipo AS ABREVIADO, hora AS "horaInicio", c_name AS NOMBRE, 'C' || c_custkey AS CEDULA FROM ({_LOG_SQL}) {_STAR_SQL.format('LEFT')} AND estado IN (1, 2)""",
 )
 def non_offence_visits(t):
-    out = cs.non_offence_visits(t.attention_log(), t.places(), t.buildings(), t.attention_kinds(), t.users(), _START, _END)
-    return dated(out, "FECHA")
+    provinces, cantons, buildings, kinds, users = t.attention_lookups()
+    return dated(cs.non_offence_visits(t.attention_log(), provinces, cantons, buildings, kinds, users, _START, _END), "FECHA")
 
 
 @query(
     "admin_acts",
     f"""SELECT fecha AS FECHA_INICIO, r_name AS PROVINCIA, n_name AS CANTON, s_name AS EDIFICIO, descripcion AS DESCRIPCION_AVD,
-    tipo AS avd_abreviado, c_name AS "nombreUsuario" FROM ({_LOG_SQL}) {_STAR_SQL.format('')} AND estado <> 0 AND value > 50""",
+    tipo AS avd_abreviado, c_name AS "nombreUsuario", 'C' || c_custkey AS "cedulaUsuario" FROM ({_LOG_SQL}) {_STAR_SQL.format('')} AND estado <> 0 AND value > 50""",
 )
 def admin_acts(t):
-    out = cs.admin_acts(t.attention_log(), t.places(), t.buildings(), t.attention_kinds(), t.users(), _START, _END)
-    return dated(out, "FECHA_INICIO")
+    provinces, cantons, buildings, kinds, users = t.attention_lookups()
+    return dated(cs.admin_acts(t.attention_log(), provinces, cantons, buildings, kinds, users, _START, _END), "FECHA_INICIO")
 
 
 @query(

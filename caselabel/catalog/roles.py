@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from caselabel import vocab
 from caselabel.functions import text as tx
 from caselabel.operators import keys as ky
+from caselabel.operators.cases import CaseTables
 from caselabel.operators.scoring import Lexicon, score_with_lexicon
 from caselabel.sources.tables import read_commission, read_table
 
@@ -184,20 +185,31 @@ HEADERS_SQL = f"""SELECT {KEY.format('o_orderkey')} AS NDD, strftime(o_orderdate
   CASE WHEN o_orderpriority = '5-LOW' AND o_totalprice > 200000 THEN 'SI' ELSE 'NO' END AS anulada,
   CASE WHEN o_totalprice > 250000 THEN 'S' ELSE 'N' END AS tentativa,
   CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS tipodelito,
-  CAST(substring(o_orderpriority, 1, 1) AS INTEGER) AS infraccion, o_orderstatus AS fuero FROM orders"""
-UNITS_SQL = """SELECT s_suppkey AS unidad, s_name AS Fiscalia, n_name AS Canton, r_name AS PROVINCIA
+  CAST(substring(o_orderpriority, 1, 1) AS INTEGER) AS infraccion, o_orderstatus AS fuero,
+  lpad(CAST(o_orderkey % 24 AS VARCHAR), 2, '0') || ':15:00' AS Hora_Registro, strftime(o_orderdate - INTERVAL 3 DAY, '%Y-%m-%d') AS Fecha_Incidente,
+  lpad(CAST(o_custkey % 24 AS VARCHAR), 2, '0') || ':45:00' AS Hora_Incidente, 'Calle ' || o_custkey AS direccion, o_custkey % 120 AS fiscalias,
+  o_custkey % 30 AS ciudades, lpad(CAST(o_custkey % 27 AS VARCHAR), 4, '0') || '01' AS parroquias,
+  CAST(substring(o_orderpriority, 1, 1) AS INTEGER) AS tipoincidente, 'INF-' || o_custkey AS numeroinf,
+  '<p>' || o_orderpriority || ' <b>' || o_custkey || '</b></p>' AS obserinc, o_custkey % 6 AS provincias,
+  lpad(CAST(o_custkey % 26 AS VARCHAR), 4, '0') AS cantones FROM orders"""
+UNITS_SQL = """SELECT s_suppkey AS unidad, 'Unidad ' || s_nationkey AS especialidad, r_name AS provincia, n_name AS canton,
+  s_suppkey % 7 AS numero, s_name AS edificio, 'Fiscal ' || s_suppkey AS fiscal
   FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
 ASSIGNMENTS_SQL = f"""SELECT {KEY.format('l_orderkey')} AS NDD, l_suppkey AS unidad,
   CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 6 END AS fso_estado,
   CASE l_linenumber WHEN 1 THEN 265 WHEN 2 THEN 266 WHEN 3 THEN 267 WHEN 4 THEN 268 WHEN 5 THEN 1065 WHEN 6 THEN 999 END AS fso_etapas,
   l_linenumber AS estado_procesal, strftime(l_shipdate, '%Y-%m-%d') AS fso_fecha, l_partkey * 10 + l_linenumber AS fso_orden,
-  l_linestatus AS fso_acumulado FROM lineitem"""
+  l_linestatus AS fso_acumulado, strftime(l_shipdate + INTERVAL 1 DAY, '%Y-%m-%d') AS fecha_estado FROM lineitem"""
 PARTIES_SQL = f"""SELECT {KEY.format('l_orderkey')} AS NDD, l_partkey AS id_involucrado,
   CASE l_linenumber WHEN 1 THEN 34 WHEN 2 THEN 193 WHEN 3 THEN 37 WHEN 4 THEN 53 WHEN 5 THEN 995 WHEN 6 THEN 49 ELSE 35 END AS inv_idtipo,
   CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS inv_estado FROM lineitem"""
 PHASES_SQL = f"""SELECT {KEY.format('l_orderkey')} AS NDD, l_suppkey AS unidad, CASE WHEN l_returnflag = 'A' THEN 'IP' ELSE 'INS' END AS fase,
   CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS estado, strftime(l_shipdate, '%Y-%m-%d') AS inicio,
-  strftime(l_shipdate + INTERVAL 30 DAY, '%Y-%m-%d') AS fin FROM lineitem"""
+  strftime(l_shipdate + INTERVAL 30 DAY, '%Y-%m-%d') AS fin, l_linenumber * 30 AS tiempo FROM lineitem"""
+PROCEEDINGS_SQL = f"""SELECT {KEY.format('l_orderkey')} AS NDD, l_suppkey AS unidad, l_orderkey * 10 + l_linenumber AS proceso,
+  max(CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END) AS estado, max(l_linenumber) AS no_resolucion FROM lineitem GROUP BY 1, 2, 3"""
+TASKS_SQL = f"""SELECT {KEY.format('l_orderkey')} AS NDD, l_partkey AS tarea, l_orderkey * 10 + l_linenumber % 5 AS proceso,
+  CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS estado FROM lineitem"""
 
 
 class Roles:
@@ -306,10 +318,71 @@ class Roles:
             F.when(priority == "1-URGENT", 1).otherwise(0).alias("tipodelito"),
             F.substring(priority, 1, 1).cast("int").alias("infraccion"),
             F.col("o_orderstatus").alias("fuero"),
+            F.concat(self._code("o_orderkey", 24, 2), F.lit(":15:00")).alias("Hora_Registro"),
+            F.date_sub(F.to_date("o_orderdate"), 3).alias("Fecha_Incidente"),
+            F.concat(self._code("o_custkey", 24, 2), F.lit(":45:00")).alias("Hora_Incidente"),
+            F.concat(F.lit("Calle "), F.col("o_custkey")).alias("direccion"),
+            (F.col("o_custkey") % 120).alias("fiscalias"),
+            (F.col("o_custkey") % 30).alias("ciudades"),
+            F.concat(self._code("o_custkey", 27, 4), F.lit("01")).alias("parroquias"),
+            F.substring(priority, 1, 1).cast("int").alias("tipoincidente"),
+            F.concat(F.lit("INF-"), F.col("o_custkey")).alias("numeroinf"),
+            F.concat(F.lit("<p>"), priority, F.lit(" <b>"), F.col("o_custkey"), F.lit("</b></p>")).alias("obserinc"),
+            (F.col("o_custkey") % 6).alias("provincias"),
+            self._code("o_custkey", 26, 4).alias("cantones"),
         )
 
-    def offences(self) -> DataFrame:
-        return self.region.select((F.col("r_regionkey") + 1).alias("infraccion"), F.col("r_name").alias("Presunto_Delito"))
+    @staticmethod
+    def _code(column: str, modulus: int, width: int):
+        return F.lpad((F.col(column) % modulus).cast("string"), width, "0")
+
+    @staticmethod
+    def lookup(df: DataFrame, code, name, **more) -> DataFrame:
+        """Lookup table ``code, name``, every code twice: once with a name that must not win."""
+        first = df.select(code.alias("code"), name.alias("name"), *[c.alias(n) for n, c in more.items()])
+        return first.unionByName(first.withColumn("name", F.lit("")))
+
+    def case_tables(self) -> CaseTables:
+        nation_key, nation_name = F.lpad(F.col("n_nationkey").cast("string"), 4, "0"), F.col("n_name")
+        region_key, region_name = F.col("r_regionkey"), F.col("r_name")
+        return CaseTables(
+            headers=self.headers(),
+            assignments=self.assignments(),
+            units=self.units(),
+            offences=self.lookup(self.region, region_key + 1, region_name, full_name=F.concat(F.lit("Art. "), region_name)),
+            states=self.lookup(self.region, region_key, region_name),
+            courts=self.courts(),
+            offices=self.lookup(self.supplier, F.col("s_suppkey"), F.col("s_name")),
+            cities=self.lookup(self.nation, F.col("n_nationkey"), nation_name),
+            cantons=self.lookup(self.nation, nation_key, nation_name, state=F.when(F.col("n_regionkey") == 4, "0").otherwise("1")),
+            parishes=self.lookup(self.nation, F.concat(nation_key, F.lit("01")), F.concat(F.lit("P "), nation_name)),
+            incident_kinds=self.lookup(self.region, region_key + 1, region_name),
+            provinces=self.lookup(self.region, region_key, region_name),
+            parties=self.parties(),
+            last_actions=self.last_actions(),
+            phases=self.phases(),
+            proceedings=self.proceedings(),
+            tasks=self.tasks(),
+        )
+
+    def proceedings(self) -> DataFrame:
+        number = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+        lines = self.lineitem.select(
+            self._ndd("l_orderkey"),
+            F.col("l_suppkey").alias("unidad"),
+            number.alias("proceso"),
+            F.when(F.col("l_returnflag") == "R", 0).otherwise(1).alias("estado"),
+            F.col("l_linenumber").alias("no_resolucion"),
+        )
+        return lines.groupBy("NDD", "unidad", "proceso").agg(F.max("estado").alias("estado"), F.max("no_resolucion").alias("no_resolucion"))
+
+    def tasks(self) -> DataFrame:
+        return self.lineitem.select(
+            self._ndd("l_orderkey"),
+            F.col("l_partkey").alias("tarea"),
+            (F.col("l_orderkey") * 10 + F.col("l_linenumber") % 5).alias("proceso"),
+            F.when(F.col("l_linestatus") == "O", 1).otherwise(0).alias("estado"),
+        )
 
     def units(self) -> DataFrame:
         return (
@@ -317,9 +390,12 @@ class Roles:
             .join(self.region, F.col("n_regionkey") == F.col("r_regionkey"))
             .select(
                 F.col("s_suppkey").alias("unidad"),
-                F.col("s_name").alias("Fiscalia"),
-                F.col("n_name").alias("Canton"),
-                F.col("r_name").alias("PROVINCIA"),
+                F.concat(F.lit("Unidad "), F.col("s_nationkey")).alias("especialidad"),
+                F.col("r_name").alias("provincia"),
+                F.col("n_name").alias("canton"),
+                (F.col("s_suppkey") % 7).alias("numero"),
+                F.col("s_name").alias("edificio"),
+                F.concat(F.lit("Fiscal "), F.col("s_suppkey")).alias("fiscal"),
             )
         )
 
@@ -327,7 +403,7 @@ class Roles:
         return self.region.select(F.col("r_regionkey").alias("estado_procesal"), F.col("r_name").alias("descripcion_estado"))
 
     def courts(self) -> DataFrame:
-        return self.spark.createDataFrame([("F", "PENAL"), ("O", "TRANSITO")], "fuero string, descripcion_fuero string")
+        return self.spark.createDataFrame([("F", "PENAL"), ("O", "TRANSITO"), ("O", "")], "code string, name string")
 
     def assignments(self) -> DataFrame:
         flag, line = F.col("l_returnflag"), F.col("l_linenumber")
@@ -341,6 +417,7 @@ class Roles:
             F.to_date("l_shipdate").alias("fso_fecha"),
             (F.col("l_partkey") * 10 + line).alias("fso_orden"),
             F.col("l_linestatus").alias("fso_acumulado"),
+            F.date_add(F.to_date("l_shipdate"), 1).alias("fso_fecha_estado_procesal"),
         )
 
     def parties(self) -> DataFrame:
@@ -362,6 +439,7 @@ class Roles:
             F.when(F.col("l_linestatus") == "O", 1).otherwise(0).alias("estado"),
             start.alias("inicio"),
             F.date_add(start, 30).alias("fin"),
+            (F.col("l_linenumber") * 30).alias("tiempo"),
         )
 
     def last_actions(self) -> DataFrame:
@@ -378,6 +456,8 @@ class Roles:
         return self.events.join(place, "user_id").select(
             "event_id",
             F.to_date("ts").alias("avd_fecha_ini"),
+            F.date_format("ts", "HH:mm:ss").alias("avd_hora_ini"),
+            (F.col("can_codigo") % 6).alias("pro_codigo"),
             "can_codigo",
             F.col("user_id").alias("edi_codigo"),
             F.col("user_id").alias("usu_codigo"),
@@ -386,17 +466,13 @@ class Roles:
             F.when(F.col("value") > 50, 1).otherwise(0).alias("avd_aa"),
         )
 
-    def places(self) -> DataFrame:
-        return self.nation.join(self.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-            F.col("n_nationkey").alias("can_codigo"), F.col("n_name").alias("CANTON"), F.col("r_name").alias("PROVINCIA")
+    def attention_lookups(self) -> tuple[DataFrame, ...]:
+        """Provinces, cantons, buildings, kinds and users of the attention log."""
+        kinds = [("click", "CONSULTA"), ("signup", "REGISTRO"), ("purchase", "CERTIFICACION"), ("click", "")]
+        return (
+            self.lookup(self.region, F.col("r_regionkey"), F.col("r_name")),
+            self.lookup(self.nation, F.col("n_nationkey"), F.col("n_name")),
+            self.lookup(self.supplier, F.col("s_suppkey"), F.col("s_name")),
+            self.spark.createDataFrame(kinds, "code string, name string"),
+            self.lookup(self.customer, F.col("c_custkey"), F.col("c_name"), card=F.concat(F.lit("C"), F.col("c_custkey"))),
         )
-
-    def buildings(self) -> DataFrame:
-        return self.supplier.select(F.col("s_suppkey").alias("edi_codigo"), F.col("s_name").alias("EDIFICIO"))
-
-    def users(self) -> DataFrame:
-        return self.customer.select(F.col("c_custkey").alias("usu_codigo"), F.col("c_name").alias("usu_nombre"))
-
-    def attention_kinds(self) -> DataFrame:
-        rows = [("click", "CONSULTA"), ("signup", "REGISTRO"), ("purchase", "CERTIFICACION")]
-        return self.spark.createDataFrame(rows, "avd_abreviado string, descripcion string")

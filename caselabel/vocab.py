@@ -169,6 +169,8 @@ STAGES = {
 NO_STAGE = "SIN ACCIONES"
 NO_STATE = "POR APERTURAR INVETIGACION PREVIA"
 PUBLIC_ATTENTION = "ATENCION AL PUBLICO"
+# Document state and catalogue of requests.
+APPROVED_DOCUMENT, REQUEST_CATALOGUE = 17, 525
 
 # --- fixed values: calendar names -------------------------------------------
 MONTHS_SHORT = ("ene", "feb", "mar", "abr", "may", "jun", "jul", "ago", "sep", "oct", "nov", "dic")
@@ -179,12 +181,6 @@ MONTHS_FULL = (
 WEEKDAYS = ("LUNES", "MARTES", "MIERCOLES", "JUEVES", "VIERNES", "SABADO", "DOMINGO")
 
 
-def label_table(spark: SparkSession, scheme: str) -> DataFrame:
-    """Labels of a scheme with their ordinal: ``(label, ordinal)``."""
-    rows = [(label, i) for i, label in enumerate(SCHEMES[scheme])]
-    return spark.createDataFrame(rows, "label string, ordinal int")
-
-
 def registry_table(spark: SparkSession, scheme: str) -> DataFrame:
     """Registry recode table of a scheme: ``(raw_label, label)``."""
     return _recode_table(spark, REGISTRY_MAPPING, scheme)
