@@ -90,8 +90,20 @@ def split_exact(
 
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """``n`` rows drawn by hash order: the same rows on every run."""
-    return df.withColumn("_h", key_hash(F.col(key), seed)).orderBy("_h", key).limit(n).drop("_h")
+    """``n`` rows drawn by hash order: the same rows on every run.
+
+    The first ``n`` of so many hashes almost surely lie below a threshold with a
+    margin, so only about as many rows are ordered, whatever the table's size.
+    Should too few lie below it, all rows are.  Both counts are scalar
+    subqueries on the key.
+    """
+    hashed = df.withColumn("_h", key_hash(F.col(key), seed))
+    place = F.conv(F.substring("_h", 1, 8), 16, 10).cast("bigint") / _HASH_RANGE
+    margin = n + 8 * math.sqrt(n) + 32
+    total = df.select(F.count(F.lit(1))).scalar()
+    below = F.coalesce(place <= F.lit(margin) / F.greatest(total, F.lit(1)), F.lit(False))
+    enough = hashed.where(below).select(F.count(F.lit(1))).scalar() >= n
+    return hashed.where(below | ~enough).orderBy("_h", key).limit(n).drop("_h")
 
 
 def split_balance(df: DataFrame, split: str, label: str) -> DataFrame:

@@ -1,8 +1,9 @@
 """Key sets, deduplication and row differences.
 
-Nothing here sorts or collects one key's rows in a task: duplicates are reduced
-by aggregates that combine before the shuffle, so a hot key costs no more than
-its share of the scan.
+Nothing here collects one key's rows in a task: duplicates are reduced by
+aggregates that combine before the shuffle, so a hot key costs no more than its
+share of the scan.  ``dedupe_last`` keeps whole rows, which Spark aggregates by
+sorting within each task; name the columns to keep.
 """
 
 from __future__ import annotations

@@ -113,3 +113,13 @@ def test_mask_dictionary(spark):
     assert dictionary.count() == 2
     stats = pv.mask_collisions(dictionary).collect()[0]
     assert (stats.n_keys, stats.n_masks, stats.colliding_keys) == (2, 2, 0)
+
+
+def test_seeded_sample_is_the_head_of_the_hash_order(rows):
+    from caselabel.operators.datasets import key_hash, seeded_sample
+
+    frame = rows("k string", *[(f"k{i}",) for i in range(3000)], ("k1",), (None,))
+    order = [r.k for r in frame.orderBy(key_hash(F.col("k"), 5), "k").where("k IS NOT NULL").collect()]
+    for n in (0, 1, 40, 5000):
+        got = [r.k for r in seeded_sample(frame.where("k IS NOT NULL"), "k", n, seed=5).collect()]
+        assert got == order[:n]
