@@ -160,6 +160,11 @@ def boxplot_stats(t):
     return ag.boxplot_stats(t.norm(), "words")
 
 
+@query("boxplot_stats_approx")
+def boxplot_stats_approx(t):
+    return ag.boxplot_stats(t.norm(), "words", approximate=True)
+
+
 @query(
     "histogram",
     f"""{WITH_NORM}, r AS (SELECT min(words) AS lo, (max(words) - min(words)) / 50.0 AS width FROM norm),

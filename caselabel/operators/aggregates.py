@@ -179,10 +179,13 @@ def describe(df: DataFrame, column: str, approximate: bool = False) -> DataFrame
     return basis.agg(*[s.alias(n) for s, n in zip(stats, names)], *quarters)
 
 
-def boxplot_stats(df: DataFrame, column: str) -> DataFrame:
-    """Quartiles, spread and fences; only the lower fence is clamped to the data."""
+def boxplot_stats(df: DataFrame, column: str, approximate: bool = False) -> DataFrame:
+    """Quartiles, spread and fences; only the lower fence is clamped to the data.
+
+    See ``describe`` for ``approximate``.
+    """
     iqr = F.col("q3") - F.col("q1")
-    return describe(df, column).select(
+    return describe(df, column, approximate).select(
         "q1",
         "median",
         "q3",

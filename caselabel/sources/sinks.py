@@ -21,12 +21,13 @@ def save_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     return path
 
 
-def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
-    """Replace a catalog table bucketed and sorted by key.
+def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> None:
+    """Replace a catalog table bucketed and sorted by key, in the warehouse or at ``path``.
 
     Later joins and updates of two such tables on the key need no shuffle.
     """
-    df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    writer = df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 def save_csv(df: DataFrame, folder: str, name: str, run_date: dt.date, escape_lines: bool = False) -> str:
@@ -41,6 +42,7 @@ def save_csv(df: DataFrame, folder: str, name: str, run_date: dt.date, escape_li
         texts = [c for c, kind in df.dtypes if kind == "string"]
         df = df.withColumns({c: files.escape_lines(F.col(c)) for c in texts})
     writer = df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     writer.option("nullValue", files.NULL_FIELD).option("emptyValue", '""').csv(path)
     return path
 

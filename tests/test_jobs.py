@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from caselabel.catalog import REGISTRY
 from caselabel.catalog import roles as ro
+from caselabel.operators import cases as cs
 from caselabel.operators import keys as ky
 from caselabel.operators import labels as lo
+from caselabel.operators import snapshots as sn
 from caselabel.plans.evaluate import evaluate
 from caselabel.plans.refresh import prepare, refresh
 from caselabel.plans.weekly import apply_update, weekly_run
@@ -65,11 +67,19 @@ def test_weekly_run_with_one_model(role):
 def test_weekly_run_shuffles_no_text(role):
     plan = plan_of(weekly_run(cases_of(role), role.commission(), role.scorers(), ro.RUN_TIME))
     assert "EvalPython" not in plan
-    tail = plan[: plan.rindex("RoundRobinPartitioning")] if "RoundRobinPartitioning" in plan else plan
-    for node in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", tail):
+    assert "RoundRobinPartitioning" not in plan
+    for node in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan):
         assert "RELATO" not in node
 
 
+@pytest.mark.parametrize("name", ["scan_cases", "scan_commission", "full_or_new_mode", "update_from", "case_detail", "lexicon_score_table", "seeded_sample"])
+def test_no_table_is_shuffled_to_spread_it_or_gathered_raw(spark, name):
+    plan = plan_of(REGISTRY[name].run(spark, SMALL))
+    assert "RoundRobinPartitioning" not in plan
+    for node in re.findall(r"Exchange SinglePartition.*\n([^\n]*\n[^\n]*)", plan):
+        assert re.search(r"functions=\[(partial_|merge_|\])|LocalLimit|TakeOrdered|LocalTableScan|Window", node), node
+
+
 def test_refresh_is_idempotent(role):
     cases = prepare(cases_of(role).select("NDD", "RELATO"), F.col("RELATO")).select("NDD", "relato", "cantidad_palabras")
     scorers = {f"delitos_{s}": role.scorer(s, "relato") for s in ("seguimiento", "validados")}
@@ -158,7 +168,7 @@ def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
         for name in ("b_left", "b_right"):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
             frame = spark.range(1000).select(F.col("id").cast("string").alias("NDD"), F.col("id").alias(name))
-            frame.write.mode("overwrite").option("path", str(tmp_path / name)).bucketBy(4, "NDD").sortBy("NDD").saveAsTable(name)
+            sinks.save_bucketed(frame, name, "NDD", 4, path=str(tmp_path / name))
         plan = plan_of(spark.table("b_left").join(spark.table("b_right"), "NDD"))
         assert "Exchange" not in plan
     finally:
@@ -184,3 +194,48 @@ def test_workspace_uses_the_shared_folder(spark):
     assert workspace(spark, "x") != workspace(spark, "x")
     with pytest.raises(ValueError):
         workspace(FakeSession("yarn", None), "x")
+
+
+def test_settle_keeps_what_only_the_previous_snapshot_has(rows):
+    current = rows("NDD string, delitos_seguimiento string, score_delitos_seguimiento double, new int", ("1", "A", 0.1, 7), ("2", "B", 0.2, 8))
+    previous = rows(
+        "NDD string, delitos_seguimiento string, score_delitos_seguimiento double, delitos_validados string,"
+        " score_delitos_validados double, compare string, nota string, FechaActualizacion timestamp",
+        ("1", "X", 0.9, "X", 0.8, "CHECK", "mine", dt.datetime(2020, 1, 1)),
+    )
+    now = dt.datetime(2024, 2, 1)
+    out = sn.merge_snapshots(current, previous, "NDD", ["delitos_seguimiento"], now, [F.col("nota")])
+    got = {r.NDD: r for r in out.collect()}
+    assert "new" not in out.columns and set(out.columns) == set(previous.columns)
+    assert tuple(got["1"][c] for c in ("delitos_seguimiento", "delitos_validados", "compare", "nota")) == ("X", "X", "OK", "mine")
+    assert got["1"].FechaActualizacion == dt.datetime(2020, 1, 1) and got["2"].FechaActualizacion == now
+    assert (got["2"].delitos_seguimiento, got["2"].delitos_validados, got["2"].nota, got["2"].compare) == ("B", None, None, "CHECK")
+
+
+def test_update_refuses_unknown_columns(rows):
+    target, source = rows("k string, a int", ("x", 1)), rows("k string, b int", ("x", 2))
+    for columns in (["a"], ["b"]):
+        with pytest.raises(ValueError):
+            sn.update_from(target, source, "k", columns, [F.lit(1)])
+
+
+@pytest.mark.parametrize("write, read", [({}, {"multiline": True}), ({"escape_lines": True}, {"escaped_lines": True})])
+def test_csv_keeps_texts_as_they_are(spark, rows, tmp_path, write, read):
+    texts = ["plain", "", None, 'a "quoted", text', "two\nlines\r\nand \\n a \\ backslash\\", " blank ends ", "ñandú", '""', "x\\"]
+    frame = rows("k string, t string", *[(str(i), t) for i, t in enumerate(texts)])
+    path = sinks.save_csv(frame, str(tmp_path), "texts", dt.date(2024, 1, 1), **write)
+    got = files.read_csv_typed(spark, path, "k string, t string", **read)
+    found = got.orderBy(F.col("k").cast("int")).collect()
+    assert all(r._corrupt_record is None for r in found)
+    assert [r.t for r in found] == texts
+
+
+def test_repeated_lookup_rows_do_not_multiply(rows):
+    names = rows("code string, name string", ("a", "first"), ("a", "second"), ("b", "other"))
+    out = cs.named(rows("k int, c string", (1, "a"), (2, "b"), (3, None)), names, F.col("c"), "out")
+    assert {(r.k, r.out) for r in out.collect()} == {(1, "second"), (2, "other"), (3, None)} and out.count() == 3
+
+
+def test_repeated_mapping_entries_do_not_multiply(rows):
+    mapping = rows("raw_label string, label string", ("a", "X"), ("a", "Y"))
+    assert [r.c for r in lo.recode(rows("c string", ("a",), ("b",)), "c", mapping).collect()] == ["X", "b"]
