@@ -13,13 +13,20 @@ sum of the overlaps of their segments.
   the set size, by size class; a set close to the lower end of its class also
   shows up in the class below.  A set leaves out empty segments unless it has
   more of them than the spare fragments make up for, so no link is lost.
+* **Sketches.**  A set's sketch has one bit per hash bucket, the parity of the
+  set's shingles in it, and a few bits per shingle.  Two sets differ in at least
+  as many shingles as their sketches differ in bits, so a pair whose sketches
+  differ in too many bits can't link.  This drops most candidates and never a
+  link, and only the sets of the others are ever moved.
 * **Overlaps.**  For a candidate pair the order is cut into ``PARTS`` fragments,
   partial overlaps are counted fragment by fragment, in different tasks, and
   summed per pair.
 * **No all-pairs.**  A set of documents that share a segment is first compared
   with its least member only.  Then only documents in different components so
-  far can matter; they are compared block against block, again fragment by
-  fragment, and only a spanning set of links leaves a block.
+  far can matter.  The others' sketches are compared with each other, block
+  against block, and give clusters; in a cluster with several components the
+  sets are, again fragment by fragment.  Only a spanning set of pairs ever
+  leaves a block.
 """
 
 from __future__ import annotations
@@ -43,6 +50,8 @@ PARTS = 4
 SPARE = 2
 #: Shingles of one block in the block-by-block comparison, and most sets in it.
 BLOCK_SHINGLES, BLOCK_SETS = 1 << 19, 256
+#: Bits of a sketch per shingle and at least, and sketch bits of one block.
+SKETCH_SHARE, SKETCH_LEAST, SKETCH_BLOCK = 1, 128, 1 << 20
 
 
 class Similarity:
@@ -61,6 +70,10 @@ class Similarity:
         """Size of the largest set that can link with a set of this size."""
         return smaller * self.den // self.num
 
+    def apart(self, both: int | np.ndarray | Column):
+        """Most shingles in which two sets of together this many can differ, over a common denominator: ``(a, b)`` for a / b."""
+        return both * (self.den - self.num), self.den + self.num
+
     def classes(self, top: int) -> np.ndarray:
         """Lower ends of the size classes; below the first, only equal sets link."""
         low = 1
@@ -101,6 +114,19 @@ def class_of(shingle_set: np.ndarray) -> int:
     return int(wd.mix(shingle_set ^ np.uint64(0x2545F4914F6CDD1D)).sum(dtype=np.uint64).view(np.int64))
 
 
+def sketch_bits(n: int) -> int:
+    """Bits of the sketch of ``n`` shingles, a power of two."""
+    return max(SKETCH_LEAST, 1 << (int(SKETCH_SHARE * n) - 1).bit_length()) if n else SKETCH_LEAST
+
+
+def sketch_of(shingle_set: np.ndarray) -> np.ndarray:
+    """Parity of the shingles in each bucket, as 64-bit words; half as many buckets are the two halves' exclusive or."""
+    bits = sketch_bits(len(shingle_set))
+    place = (wd.mix(shingle_set + np.uint64(0x9FB21C651E98DF25)) & np.uint64(bits - 1)).astype(np.int64)
+    odd = (np.bincount(place, minlength=bits) & 1).astype(bool)
+    return np.packbits(odd, bitorder="little").view(np.int64)
+
+
 def _sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
     data, offsets = wd.buffers(column)
     for a, b in wd.slices(offsets):
@@ -121,7 +147,7 @@ def text_handle() -> Column:
 
 
 def signatures(docs: DataFrame, k: int, sim: Similarity) -> DataFrame:
-    """``(doc_id, handle, n, cid, check, keys)`` per row: set size, 128-bit signature of the set, segment keys.
+    """``(doc_id, handle, n, cid, check, keys, sketch)`` per row: set size, 128-bit signature, segment keys and sketch.
 
     ``cid`` names the class of equal sets.
     """
@@ -130,7 +156,7 @@ def signatures(docs: DataFrame, k: int, sim: Similarity) -> DataFrame:
         bounds = sim.classes(1 << 20)
         for batch in batches:
             for part in _pieces(batch):
-                n, cid, check, keys = [], [], [], []
+                n, cid, check, keys, sketches = [], [], [], [], []
                 for s in _sets(part.column(1), k):
                     if len(s) >= bounds[-1]:
                         bounds = sim.classes(2 * len(s))
@@ -138,12 +164,13 @@ def signatures(docs: DataFrame, k: int, sim: Similarity) -> DataFrame:
                     cid.append(class_of(s))
                     check.append(int(wd.mix(s + np.uint64(0x632BE59BD9B4E019)).sum(dtype=np.uint64).view(np.int64)))
                     keys.append(segment_keys(s, bounds, sim) if len(s) >= bounds[0] else np.zeros(0, np.uint64))
+                    sketches.append(sketch_of(s).view(np.uint64) if len(s) >= bounds[0] else np.zeros(0, np.uint64))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), pa.array(n, pa.int64()), pa.array(cid, pa.int64()), pa.array(check, pa.int64()), _list(keys)],
-                    ["doc_id", "handle", "n", "cid", "check", "keys"],
+                    [part.column(0), part.column(2), pa.array(n, pa.int64()), pa.array(cid, pa.int64()), pa.array(check, pa.int64()), _list(keys), _list(sketches)],
+                    ["doc_id", "handle", "n", "cid", "check", "keys", "sketch"],
                 )
 
-    schema = "doc_id long, handle long, n long, cid long, check long, keys array<long>"
+    schema = "doc_id long, handle long, n long, cid long, check long, keys array<long>, sketch array<long>"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_handle().alias("handle")).mapInArrow(sign, schema)
 
 
@@ -235,23 +262,88 @@ def _block_links(sim: Similarity):
     return links
 
 
-def _rest(shared: DataFrame, comps: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
-    """Links between sets that share a segment but stand in different components so far.
+def may_link(pairs: DataFrame, sketches: DataFrame, sim: Similarity) -> DataFrame:
+    """The pairs ``(a, b, na, nb)`` whose sketches do not rule a link out."""
+    left = sketches.select(F.col("cid").alias("a"), F.col("sketch").alias("sa"))
+    right = sketches.select(F.col("cid").alias("b"), F.col("sketch").alias("sb"))
+    words = F.least(F.size("sa"), F.size("sb"))
+
+    def folded(sketch: str) -> Column:
+        parts = F.sequence(F.lit(0), (F.size(sketch) / words).cast("int") - 1)
+        word = lambda i: F.aggregate(parts, F.lit(0).cast("long"), lambda x, j: x.bitwiseXOR(F.get(sketch, i + j * words)))
+        return F.when(F.size(sketch) == words, F.col(sketch)).otherwise(F.transform(F.sequence(F.lit(0), words - 1), word))
+
+    bits = F.aggregate(F.zip_with(folded("sa"), folded("sb"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    most, part = sim.apart(F.col("na") + F.col("nb"))
+    return pairs.join(left, "a").join(right, "b").where(bits * part <= most).select("a", "b", "na", "nb")
+
+
+def _sketch_links(sim: Similarity):
+    """Spanning pairs of one block pair that may link."""
+
+    def links(rows: pd.DataFrame) -> pd.DataFrame:
+        cid, n, side = (rows[c].to_numpy() for c in ("cid", "n", "side"))
+        sketches = [np.asarray(x, np.int64) for x in rows["sketch"]]
+        words = min(map(len, sketches))
+        folded = np.stack([np.bitwise_xor.reduce(x.reshape(-1, words), axis=0) for x in sketches])
+        signs = np.unpackbits(folded.view(np.uint8), axis=1).astype(np.float32) * 2 - 1
+        bits = (64 * words - signs @ signs.T) / 2
+        most, part = sim.apart(n[:, None] + n[None, :])
+        good = bits * part <= most
+        good &= np.minimum(n[:, None], n[None, :]) * sim.den >= np.maximum(n[:, None], n[None, :]) * sim.num
+        if side.any():  # two different blocks: only across
+            good &= side[:, None] != side[None, :]
+        root = np.arange(len(cid))
+        while True:  # least position reachable
+            least = np.minimum(root, np.where(good, root[None, :], len(cid)).min(axis=1))
+            least = least[least]
+            if (least == root).all():
+                break
+            root = least
+        other = root != np.arange(len(cid))
+        return pd.DataFrame({"a": cid[other], "b": cid[root[other]]})
+
+    return links
+
+
+def _blocks(placed: DataFrame, keys: list[str], *columns: str) -> DataFrame:
+    """Rows with a ``blocks`` number dealt to all pairs ``(i, j)`` of their own block and another."""
+    placed = placed.withColumn("own", F.pmod(F.xxhash64(F.lit(1), "cid"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    pair = F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    return placed.select(*keys, *pair, (F.col("own") > F.col("other")).cast("int").alias("side"), *columns)
 
-    ``shared`` has ``(key, cid, n, low)``; pairs with ``low`` are settled.  Sets
-    that share an open segment, directly or by others, form a cluster, so each
-    set travels once and not once per segment.  In a cluster only sets of
-    similar size can link: it is cut into bands of sizes, ``2^c`` to ``2^(c+1)``
-    and those around each ``2^c``.  Large bands are compared block by block.
+
+def _near(shared: DataFrame, sketches: DataFrame, sim: Similarity) -> DataFrame:
+    """Spanning pairs ``(a, b)`` of the sets that share a segment, are not its least, and may link by their sketches.
+
+    Segments with the same members are compared once, large ones in blocks.
     """
     others = shared.where("cid <> low").select("key", "cid", "n").distinct()
+    keys = others.groupBy("key").agg(
+        F.count(F.lit(1)).alias("members"),
+        F.max("n").alias("top"),
+        F.bit_xor(F.xxhash64("cid")).alias("who"),
+        F.bit_xor(F.xxhash64(F.lit(1), "cid")).alias("check"),
+    )
+    keys = keys.where("members > 1").groupBy("members", "who", "check", "top").agg(F.min("key").alias("key"))
+    per_block = F.greatest(F.lit(2), F.least(F.lit(1024), F.floor(F.lit(SKETCH_BLOCK / SKETCH_SHARE) / F.col("top"))))
+    keys = keys.select("key", F.ceil(F.col("members") / per_block).cast("int").alias("blocks"))
+    members = _blocks(others.join(keys, "key"), ["key"], "cid", "n").join(sketches, "cid")
+    return members.groupBy("key", "i", "j").applyInPandas(_sketch_links(sim), "a long, b long").distinct()
+
+
+def _rest(near: DataFrame, comps: DataFrame, sizes: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
+    """Links between sets that ``near`` connects but that stand in different components so far.
+
+    What ``near`` connects, directly or by others, is a cluster.  In a cluster
+    only sets of similar size can link: it is cut into bands of sizes, ``2^c``
+    to ``2^(c+1)`` and those around each ``2^c``.  Large bands are compared block
+    by block.
+    """
+    clusters = components(near).select(F.col("node").alias("cid"), F.col("component").alias("cluster"))
     comps = comps.select(F.col("node").alias("cid"), F.col("component").alias("comp"))
-    marked = others.join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-    marked = written(marked, "jaccard-open")
-    keys = marked.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min("cid").alias("b"))
-    open_keys = keys.where("c0 <> c1").select("key", "b")
-    clusters = components(marked.join(open_keys, "key").select(F.col("cid").alias("a"), "b"))
-    members = marked.select("cid", "n", "comp").distinct().join(clusters.select(F.col("node").alias("cid"), F.col("component").alias("cluster")), "cid")
+    members = clusters.join(sizes, "cid").join(comps, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     power = F.floor(F.log2(F.col("n") + F.lit(0.5)))
     start = F.pow(F.lit(2), power)
     bands = F.array_compact(
@@ -267,23 +359,9 @@ def _rest(shared: DataFrame, comps: DataFrame, sets: DataFrame, sim: Similarity)
     )
     per_block = F.greatest(F.lit(2), F.least(F.lit(BLOCK_SETS), F.floor(F.lit(BLOCK_SHINGLES) / F.col("top"))))
     blocks = F.ceil(F.col("members") / per_block).cast("int")
-    total = members.count()
     groups = groups.where("c0 <> c1").select("cluster", "band", blocks.alias("blocks"), "members")
-    placed = hot_join(members, groups, ["cluster", "band"], "members", total).withColumn(
-        "own", F.pmod(F.xxhash64(F.lit(1), "cid"), F.col("blocks")).cast("int")
-    )
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = placed.select(
-        "cluster",
-        "band",
-        F.least("own", "other").alias("i"),
-        F.greatest("own", "other").alias("j"),
-        (F.col("own") > F.col("other")).cast("int").alias("side"),
-        "cid",
-        "n",
-        "comp",
-    )
-    full = placed.join(sets, "cid")
+    placed = hot_join(members, groups, ["cluster", "band"], "members", members.count())
+    full = _blocks(placed, ["cluster", "band"], "cid", "n", "comp").join(sets, "cid")
     return full.groupBy("cluster", "band", "i", "j").applyInPandas(_block_links(sim), "a long, b long")
 
 
@@ -299,32 +377,36 @@ def linked_texts(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100) ->
     times all their shingles.  ``component_id`` is the smallest ``doc_id``
     reachable by links.  Each row stands for its own text, so repeated rows
     share a component.  Null, empty and blank texts have no shingles, link with
-    nothing and are their own component.  Rows with a null ``doc_id`` link like
-    others but name no component.  Other columns are ignored; an empty table
-    gives an empty result.
+    nothing and are their own component.  Rows with a null ``doc_id`` share the
+    component of equal texts; a text that stands under a null id only links with
+    no other text and has no component.  Other columns are ignored; an empty
+    table gives an empty result.
     """
     sim = Similarity(num, den)
     rows = written(signatures(docs, k, sim), "jaccard-rows")
-    classes = rows.where("n > 0").groupBy("cid", "check", "n").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
+    classes = rows.where("n > 0").groupBy("cid", "check", "n").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.min("sketch").alias("sketch"))
     classes = written(classes, "jaccard-classes")
     by_key = W.partitionBy("key")
     keyed = rows.select(F.explode("keys").alias("key"), "cid", "n")
     keyed = keyed.withColumns({"low": F.min("cid").over(by_key), "high": F.max("cid").over(by_key)})
     shared = written(keyed.where("low <> high").select("key", "cid", "n", "low"), "jaccard-shared")
-    sizes = classes.select("cid", "n").distinct()
+    candidates = shared.select("cid").distinct().join(classes.where("least IS NOT NULL"), "cid")
+    candidates = written(candidates.select("cid", "n", "least", "sketch"), "jaccard-candidates")
+    sizes, sketches = candidates.select("cid", "n"), candidates.select("cid", "sketch")
     first = shared.where("cid <> low").select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("low").alias("b")).distinct()
     first = first.join(sizes.select(F.col("cid").alias("b"), F.col("n").alias("nb")), "b")
     within = F.least("na", "nb") * sim.den >= F.greatest("na", "nb") * sim.num
-    first = written(first.where(within), "jaccard-pairs")
-    involved = shared.select("cid").distinct().join(classes.where("least IS NOT NULL"), "cid")
+    first = written(may_link(first.where(within), sketches, sim), "jaccard-pairs")
+    near = written(_near(shared, sketches, sim), "jaccard-near")
+    involved = first.select(F.explode(F.array("a", "b")).alias("cid")).union(near.select(F.explode(F.array("a", "b"))))
+    involved = written(involved.distinct().join(candidates.select("cid", "least"), "cid"), "jaccard-involved")
     # The row with the least id stands for a class; other texts under that id are told apart by their signature.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
-        involved.select(F.col("least").alias("doc_id"), F.col("cid")), "doc_id"
+        involved.select(F.col("least").alias("doc_id"), "cid"), "doc_id"
     )
     sets = written(segments(texts.dropDuplicates(["doc_id", "cid", "text"]).select("cid", "text"), k), "jaccard-sets")
     links = written(linked(first, sets, sim), "jaccard-links")
-    comps = components(links)
-    more = written(_rest(shared, comps, sets, sim), "jaccard-more")
+    more = written(_rest(near, components(links), sizes, sets, sim), "jaccard-more")
     comps = written(components(links.unionByName(more)), "jaccard-components")
     named = comps.withColumnRenamed("node", "cid").join(classes, "cid")
     least = named.groupBy("component").agg(F.min("least").alias("component_id"), F.sum("copies").alias("rows"))

@@ -52,6 +52,7 @@ def test_hot_group_of_copies_and_near_copies(spark):
 
 def test_blocks_are_compared_when_the_first_member_links_with_none(spark, monkeypatch):
     monkeypatch.setattr(jj, "BLOCK_SETS", 3)
+    monkeypatch.setattr(jj, "SKETCH_BLOCK", 1000)
     rnd = random.Random(9)
     rows = []
     for g in range(6):
@@ -88,6 +89,24 @@ def test_empty_table(spark):
     assert jj.jaccard_components(df).collect() == []
 
 
+def test_sketches_never_hide_a_link():
+    rng = jj.np.random.default_rng(2)
+    sim = jj.Similarity(80, 100)
+    for _ in range(300):
+        a = jj.np.unique(rng.integers(0, 1 << 60, rng.integers(1, 900), dtype=jj.np.uint64))
+        b = jj.np.unique(jj.np.concatenate([rng.choice(a, max(1, int(len(a) * rng.uniform(0.7, 1))), replace=False), rng.integers(0, 1 << 60, rng.integers(0, 90), dtype=jj.np.uint64)]))
+        common = len(jj.np.intersect1d(a, b))
+        differ = len(a) + len(b) - 2 * common
+        x, y = jj.sketch_of(a), jj.sketch_of(b)
+        words = min(len(x), len(y))
+        x, y = (jj.np.bitwise_xor.reduce(z.reshape(-1, words), axis=0) for z in (x, y))
+        bits = int(jj.np.bitwise_count((x ^ y).view(jj.np.uint64)).sum())
+        assert bits <= differ
+        most, part = sim.apart(len(a) + len(b))
+        if 100 * common >= 80 * (len(a) + len(b) - common):
+            assert bits * part <= most
+
+
 def test_similarity_bounds_are_exact():
     sim = jj.Similarity(90, 100)
     for a in range(1, 400):
