@@ -49,7 +49,7 @@ def line_key(line: Column) -> Column:
 def line_keys(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """``(row, doc, h1, h2, pos, is_first)`` of every line that counts.
 
-    ``row`` names the input row, by id and text; ``is_first`` marks the first
+    ``doc`` and ``row`` name the input row, by id and text; ``is_first`` marks the first
     place of a key in its row.  A row's lines are sorted by key inside the row.
     """
     hashed = F.transform(
@@ -74,10 +74,15 @@ def line_keys(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 
 def row_handle() -> Column:
-    """Rows with equal id and text share a handle, which treats them alike."""
+    """Tells rows with the same id apart; rows with equal id and text share a handle, which treats them alike."""
     return F.xxhash64("doc_id", "text")
 
 
+def _rank(doc_id: str) -> Column:
+    """The id as a number; rows without one stand below all others."""
+    return F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63)))
+
+
 @dataclass
 class LineRuns:
     """Levelled sorted runs ``(h1, h2, owner, n_docs)`` in the shared folder."""
@@ -128,9 +133,9 @@ class LineRuns:
 
 
 def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = BATCHES) -> DataFrame:
-    """``(row, drops)``: for each row that loses lines, their positions in order, from 1."""
+    """``(doc, row, drops)``: for each row that loses lines, their positions in order, from 1; see ``_rank``."""
     keys = written(line_keys(docs, min_chars), "line-keys")
-    doc = F.coalesce("doc", F.lit(-(1 << 63)))
+    doc = _rank("doc")
     cuts = [i / batches for i in range(batches - 1, 0, -1)]
     found = docs.agg(F.percentile_approx("doc_id", cuts).alias("cuts")).first()["cuts"] or []
     lower = sorted({c for c in found if c is not None}, reverse=True) + [-(1 << 63)]
@@ -146,7 +151,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
     cold = repeated.where(F.col("n_docs") <= bar).select(*KEY, "owner")
     wanted = keys.select("row", doc.alias("doc"), *KEY, "pos")
     hits = wanted.join(hot, KEY).unionByName(wanted.join(hot, KEY, "left_anti").join(cold, KEY))
-    return hits.where("doc <> owner").groupBy("row").agg(F.array_sort(F.collect_set("pos")).alias("drops"))
+    return hits.where("doc <> owner").groupBy("doc", "row").agg(F.array_sort(F.collect_set("pos")).alias("drops"))
 
 
 def kept_lines(lines: Column, drops: Column) -> Column:
@@ -158,9 +163,10 @@ def kept_lines(lines: Column, drops: Column) -> Column:
 
 def _with_drops(docs: DataFrame, **options) -> tuple[DataFrame, str]:
     """``docs`` with the dropped positions in a column of the returned name, null where nothing is dropped."""
-    row, drops = unused("row", docs), unused("drops", docs)
-    found = dropped_lines(docs, **options).select(F.col("row").alias(row), F.col("drops").alias(drops))
-    return docs.withColumn(row, row_handle()).join(found, row, "left").drop(row), drops
+    doc, row, drops = (unused(name, docs) for name in ("doc", "row", "drops"))
+    found = dropped_lines(docs, **options).select(F.col("doc").alias(doc), F.col("row").alias(row), F.col("drops").alias(drops))
+    marked = docs.withColumn(doc, _rank("doc_id")).withColumn(row, row_handle())
+    return marked.join(found, [doc, row], "left").drop(doc, row), drops
 
 
 def dedup_lines(docs: DataFrame, **options) -> DataFrame:
