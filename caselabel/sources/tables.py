@@ -83,7 +83,9 @@ def narratives_for(narratives: DataFrame, keys: DataFrame, order_by: list[Column
     wanted = narratives.where(valid_narratives()).select(
         F.col("codfisc").alias("NDD"), F.col("obserinc").alias("RELATO"), *order_by
     )
-    latest = ky.dedupe_last(ky.semi_known(wanted, keys, "NDD"), ["NDD"], [F.col(c) for c in wanted.columns[2:]] + [F.col("RELATO")])
+    # Ties are broken by a hash, so that the narrative itself is carried once and never compared.
+    order = [*[F.col(c) for c in wanted.columns[2:]], F.xxhash64("RELATO")]
+    latest = ky.dedupe_last(ky.semi_known(wanted, keys, "NDD"), ["NDD"], order, keep=["RELATO"])
     return latest.select("NDD", clean(F.col("RELATO")).alias("RELATO"))
 
 
