@@ -167,6 +167,7 @@ def case_rows(
         assignments.where(which).join(units.select("unidad"), "unidad", "left_semi"),
         ["NDD"],
         [F.col("fso_fecha"), F.col("unidad"), F.col("fso_orden")],
+        keep=["unidad", "estado_procesal", "fso_etapas", "fso_acumulado", "fso_fecha_estado_procesal"],
     )
     offences = one_name(tables.offences, "name", "full_name").withColumnsRenamed({"code": "infraccion", "name": "Presunto_Delito", "full_name": _FULL_OFFENCE})
     impulses, own_tasks = activity_counts(proceedings, tasks)
@@ -176,44 +177,46 @@ def case_rows(
     if set(_SPAN) & set(columns):
         rows = rows.join(phase_span(phases), "NDD", "left")
     if "IMPULSOS" in columns:
-        rows = rows.join(impulses, "NDD", "left").withColumn("IMPULSOS", F.coalesce("IMPULSOS", F.lit(0)))
+        rows = rows.join(impulses, "NDD", "left")
     rows = (
         rows.join(own_tasks, "NDD", "left")
         .join(party_counts(parties, "NDD"), "NDD", "left")
         .join(tables.last_actions, "NDD", "left")
-        .join(units.withColumnsRenamed({"provincia": "PROVINCIA"}), "unidad")
+        .join(units, "unidad")
         .join(offences, "infraccion")
     )
     cantons = tables.cantons
-    for lookup, code, out in (
+    lookups = (
         (tables.offices, F.col("fiscalias"), "Fiscalia"),
         (tables.cities, F.col("ciudades"), "Ciudad"),
         (cantons.where(F.col("state") == "1"), F.substring("parroquias", 1, 4), "Canton"),
         (tables.parishes, F.col("parroquias"), "Parroquia"),
         (tables.incident_kinds, F.col("tipoincidente"), "Tipo"),
         (tables.courts, F.col("fuero"), "Fuero"),
-        (tables.states, F.col("estado_procesal"), "descripcion_estado"),
+        (tables.states, F.col("estado_procesal"), "Estado_Procesal"),
         (tables.provinces, F.col("provincias"), "PROVINCIA_INCIDENTE"),
         (cantons, F.col("cantones"), "CANTON_INCIDENTE"),
-    ):
-        rows = named(rows, lookup, code, out) if out in columns or out == "descripcion_estado" else rows
-    ready = rows.withColumns(
-        {
-            "Tentativa": lb.yes_no(F.col("tentativa")),
-            "Direccion": F.col("direccion"),
-            "Fiscalia_Especializada": F.col("especialidad"),
-            "NyF": F.when(F.col("tipodelito") == 0, "No Flagrante").otherwise("Flagrante"),
-            "numero_fiscalia": F.concat(F.lit("Fiscalia "), F.col("numero").cast("string")),
-            "nombre_fiscal": F.col("fiscal"),
-            "Etapa_procesal": lb.stage_text(F.col("fso_etapas")),
-            "Estado_Procesal": lb.state_text(F.col("descripcion_estado")),
-            "Fecha_estado_procesal": F.date_format("fso_fecha_estado_procesal", "yyyy-MM-dd"),
-            "Tipo_incidente": F.col("Tipo"),
-            "Relato": clean(F.col("obserinc")),
-            **{name: F.coalesce(F.col(name), F.lit(0)) for name in ("IMPULSOS_DILIGENCIAS", *vocab.PARTY_COUNTS)},
-        }
     )
-    return ready.select(*[F.col(f"`{c}`") for c in columns])
+    values = {}
+    for i, (lookup, code, out) in enumerate(lookups):
+        if out in columns:
+            names = one_name(lookup).select(F.col("code").alias(f"_code{i}"), F.col("name").alias(f"_name{i}"))
+            rows = rows.join(names, code == F.col(f"_code{i}"), "left")
+            values[out] = F.col(f"_name{i}")
+    values |= {
+        "Tentativa": lb.yes_no(F.col("tentativa")),
+        "Fiscalia_Especializada": F.col("especialidad"),
+        "NyF": F.when(F.col("tipodelito") == 0, "No Flagrante").otherwise("Flagrante"),
+        "numero_fiscalia": F.concat(F.lit("Fiscalia "), F.col("numero").cast("string")),
+        "nombre_fiscal": F.col("fiscal"),
+        "Etapa_procesal": lb.stage_text(F.col("fso_etapas")),
+        "Estado_Procesal": lb.state_text(values["Estado_Procesal"]),
+        "Fecha_estado_procesal": F.date_format("fso_fecha_estado_procesal", "yyyy-MM-dd"),
+        "Tipo_incidente": values["Tipo"],
+        "Relato": clean(F.col("obserinc")),
+        **{name: F.coalesce(F.col(name), F.lit(0)) for name in ("IMPULSOS_DILIGENCIAS", "IMPULSOS", *vocab.PARTY_COUNTS)},
+    }
+    return rows.select(*[values.get(c, F.col(f"`{c}`")).alias(c) for c in columns])
 
 
 def case_detail(tables: CaseTables, **options) -> DataFrame:
