@@ -11,6 +11,13 @@ functions; one-versus-rest kernel ridge regression in it has a closed form:
 Scoring a batch of texts is a matrix product of their presence matrix with the
 landmarks' presence and ``a``; the latter two are multiplied beforehand.
 
+One-versus-rest outputs say which language is the nearest, not whether it is near
+at all: a text like none of the sample is far from every landmark and gets
+middling outputs.  So a text must also know its language: the share of its
+n-grams that the language's sample has must reach what all but ``LOST`` of that
+sample's own texts reach, each held against the others.  Short texts, whose
+shares vary by chance, get an allowance.  Other texts are in no known language.
+
 The model is fitted on a bounded sample of labelled rows, ``PER_LANGUAGE`` of
 each language and ``MAX_SAMPLE`` in all; every text is scored whole.
 """
@@ -37,6 +44,11 @@ RIDGE = 1e-4
 BUCKET_BITS = 15
 SPECTRUM = 3
 UNKNOWN = "und"
+#: Share of a language's own sample that may fall below its bar, before the allowance for chance.
+LOST = 0.005
+#: Standard deviations of that allowance; a strange character spoils up to 1 + 2 + 3 n-grams together.
+SLACK = 3.0
+_TOGETHER = SPECTRUM * (SPECTRUM + 1) // 2
 
 _ROWS = 128
 _FACTORS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
@@ -75,16 +87,22 @@ def _batches(batch: pa.RecordBatch, column: int) -> Iterator[tuple[pa.RecordBatc
 
 @dataclass(frozen=True)
 class Model:
-    """Weights ``buckets x languages`` that landmarks and ridge solution multiply to."""
+    """Weights ``buckets x languages`` that landmarks and ridge solution multiply to.
+
+    ``seen`` (``languages x buckets``) has the n-grams of each language's sample,
+    ``bars`` the share of a text's n-grams that has to be among them.
+    """
 
     languages: list[str]
     weights: np.ndarray
+    seen: np.ndarray
+    bars: np.ndarray
 
     @staticmethod
     def fit(grids: np.ndarray, labels: list[str], ridge: float = RIDGE, landmarks: int = LANDMARKS) -> Model:
         languages = sorted(set(labels))
         if not languages:
-            return Model([], np.zeros((1 << BUCKET_BITS, 0), np.float32))
+            return Model([], np.zeros((1 << BUCKET_BITS, 0), np.float32), np.zeros((0, 1 << BUCKET_BITS), bool), np.zeros(0))
         unit = _unit(grids)
         label = np.array([languages.index(x) for x in labels])
         each = max(1, min(landmarks, MAX_LANDMARKS // len(languages)))
@@ -96,13 +114,21 @@ class Model:
         weight = 1.0 / np.bincount(label)[label]
         left = k_nm.T @ (weight[:, None] * k_nm) + ridge * k_mm + 1e-9 * np.eye(len(marks))
         solution = np.linalg.solve(left, k_nm.T @ (weight[:, None] * target))
-        return Model(languages, (unit[marks].T @ solution).astype(np.float32))
+        seen, bars = zip(*(_familiar(grids[label == c]) for c in range(len(languages))), strict=True)
+        return Model(languages, (unit[marks].T @ solution).astype(np.float32), np.stack(seen), np.array(bars))
 
     def scores(self, grid: np.ndarray) -> np.ndarray:
         """One-versus-rest outputs, about -1 to 1."""
         size = np.sqrt(np.maximum(grid.sum(axis=1, dtype=np.int64), 1))
         return (grid.astype(np.float32) @ self.weights) / size[:, None]
 
+    def known(self, grid: np.ndarray, best: np.ndarray) -> np.ndarray:
+        """Whether each text has enough of its n-grams in common with the sample of the language ``best``."""
+        size = np.maximum(np.count_nonzero(grid, axis=1), 1)
+        share = np.count_nonzero(grid.view(bool) & self.seen[best], axis=1) / size
+        bar = self.bars[best]
+        return share >= bar - SLACK * np.sqrt(_TOGETHER * bar * (1 - bar) / size)
+
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         grid, with_letter = presence(texts)
         if not self.languages:
@@ -110,8 +136,9 @@ class Model:
         out = self.scores(grid)
         best = out.argmax(axis=1)
         score = np.clip((out[np.arange(len(texts)), best].astype(np.float64) + 1) / 2, 0, 1)
-        names = [self.languages[b] if ok else UNKNOWN for b, ok in zip(best, with_letter, strict=True)]
-        return names, np.where(with_letter, score, 0.0)
+        known = with_letter & self.known(grid, best)
+        names = [self.languages[b] if ok else UNKNOWN for b, ok in zip(best, known, strict=True)]
+        return names, np.where(known, score, 0.0)
 
 
 def _unit(grids: np.ndarray) -> np.ndarray:
@@ -119,6 +146,13 @@ def _unit(grids: np.ndarray) -> np.ndarray:
     return grids.astype(np.float32) / size[:, None].astype(np.float32)
 
 
+def _familiar(grids: np.ndarray) -> tuple[np.ndarray, float]:
+    """N-grams of a language's sample, and the share of them that all but ``LOST`` of its texts have from the others."""
+    holders = grids.sum(axis=0, dtype=np.int64)
+    shares = [np.count_nonzero(row.view(bool) & (holders > 1)) / max(np.count_nonzero(row), 1) for row in grids]
+    return holders > 0, float(np.quantile(shares, LOST))
+
+
 def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, max_sample: int = MAX_SAMPLE) -> Model:
     """Model from ``labelled`` (``doc_id, text, lang``); rows without language or without a letter are left out."""
 
@@ -143,8 +177,9 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, max_sample: int =
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` (``doc_id, text``) as ``(doc_id, lang_pred, score)``, one row per row.
 
-    Null texts and texts without a letter get ``und`` and score 0; so does
-    everything when the model has seen no language.  Long texts are read whole.
+    Null texts, texts without a letter and texts in none of the languages get
+    ``und`` and score 0; so does everything when the model has seen no language.
+    Long texts are read whole.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -14,7 +14,7 @@ from caselabel.llm import decontaminate, jaccard_join, language_id, line_dedup,
 from caselabel.llm.samples import fold_of
 from caselabel.llm.tables import table, written
 
-#: A text that every language's machine rejects this clearly is in none of them.
+#: Least score of the nearest language.  What is in no known language has no score; ``language_id.LOST`` settles that.
 LEAST_LANGUAGE_SCORE = 0.2
 
 

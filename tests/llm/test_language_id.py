@@ -105,3 +105,31 @@ def test_rejected_rows_go(spark, least, gone):
     assert out.columns == df.columns
     want = [] if gone == "all" else [r for r in data if r[0] not in gone]
     assert sorted(map(tuple, out.collect())) == sorted(want)
+
+
+def test_texts_in_no_known_language_go_at_the_pipelines_bar(spark):
+    import corpus_pipeline as cp
+
+    rnd = random.Random(3)
+    junk = lambda letters, n: " ".join("".join(rnd.choices(letters, k=rnd.randrange(4, 10))) for _ in range(n))
+    strange = [
+        "Быстрая коричневая лиса прыгает через ленивую собаку и уходит в лес за грибами.",
+        "這是一個測試文件，內容完全是中文，沒有其他語言的文字。",
+        "Η γρήγορη αλεπού πηδά πάνω από το τεμπέλικο σκυλί.",
+        "これは日本語の文章です。とても長い文を書いています。",
+        *(junk("bcdfghjklmnpqrstvwxz", n) for n in (6, 40, 400)),
+        *(junk("abcdefghijklmnopqrstuvwxyz", n) for n in (20, 400)),
+    ]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    clean = [r.text for r in docs.where("doc_id IS NOT NULL AND length(text) > 200").orderBy("doc_id").limit(100).collect()]
+    short = [" ".join(t.split()[:n]) for t, n in zip(clean, [3, 5, 8, 12] * 25, strict=True)]
+    short = [t for t in short if any(c.isalpha() for c in t)]
+    planted = [(10**9 + i, t) for i, t in enumerate(strange + short)]
+    whole = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = spark.createDataFrame(planted, "doc_id long, text string")
+    kept = cp.keep_known_languages(spark, whole.unionByName(rows, allowMissingColumns=True), "").select("doc_id").collect()
+    kept = {r.doc_id for r in kept}
+    assert not kept & {i for i, _ in planted[: len(strange)]}
+    lost = [t for i, t in planted[len(strange) :] if i not in kept]
+    assert not lost
+    assert len(kept & {r.doc_id for r in docs.collect()}) >= 0.995 * docs.count()
