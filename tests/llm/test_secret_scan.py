@@ -112,3 +112,56 @@ def test_no_python_in_the_plan(spark):
     plan = ss.scan(df)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert F.col  # the module is expressions only
+
+
+DIGITS, LOWER, UPPER = string.digits, string.ascii_lowercase, string.ascii_uppercase
+#: Encoding, alphabet, length, what stands around it.
+RARE = [
+    ("upper hex", DIGITS + "ABCDEF", 64, "{}"),
+    ("upper hex", DIGITS + "ABCDEF", 40, "id:{}"),
+    ("base32", UPPER + "234567", 40, "{}===="),
+    ("base36", LOWER + DIGITS, 40, "{}"),
+    ("base62", UPPER + LOWER + DIGITS, 40, "{}"),
+    ("base64", UPPER + LOWER + DIGITS + "+/", 40, "AWS_SECRET_ACCESS_KEY={}"),
+    ("base64", UPPER + LOWER + DIGITS + "+/", 43, "KEY={}="),
+    ("base64", UPPER + LOWER + DIGITS + "+/", 64, "{}_tail"),
+    ("base64url", UPPER + LOWER + DIGITS + "-_", 43, "KEY={}"),
+]
+
+
+def test_each_encoding_is_found_when_rare(spark):
+    rnd = random.Random(5)
+    syllables = ["thin", "ter", "ness", "under", "stand", "ation", "over", "ing", "counter", "pro", "duc", "tive", "less", "ful"]
+
+    def ordinary():
+        word = lambda: "".join(rnd.choices(syllables, k=rnd.randrange(1, 4)))
+        kind = rnd.randrange(12)
+        if kind < 6:
+            return "".join(rnd.choices(syllables, k=rnd.randrange(6, 12)))
+        if kind == 6:
+            return "_".join(word() for _ in range(5)).upper() + "=" + word()
+        if kind == 7:
+            return "/".join(word() for _ in range(5)) + str(rnd.randrange(2000))
+        if kind == 8:
+            return "".join(word().capitalize() for _ in range(5))
+        if kind == 9:
+            return "-".join(word() for _ in range(5)) + "-" + str(rnd.randrange(1990, 2030))
+        if kind == 10:
+            return "".join(rnd.choices(DIGITS, k=rnd.randrange(20, 40)))
+        return "".join(word() for _ in range(8)).upper()
+
+    rows = [(i, " ".join(ordinary() for _ in range(200))) for i in range(450)]  # 90,000 candidates, 1 in 10,000 planted
+    planted = {}
+    for i, (_, alphabet, n, around) in enumerate(RARE):
+        secret = "".join(rnd.choices(alphabet, k=n))
+        planted[50 * i] = secret
+        rows[50 * i] = (50 * i, rows[50 * i][1] + " " + around.format(secret))
+    text = dict(rows)
+    flagged = {}
+    for r in check(spark, rows):
+        for kind, a, b in (s.split(":") for s in r.spans.split(",") if s):
+            if kind == "random":
+                flagged.setdefault(r.doc_id, []).append(text[r.doc_id][int(a) : int(b)])
+    missed = [RARE[i // 50] for i, secret in planted.items() if not any(secret.rstrip("=") in f or f.rstrip("=") in secret for f in flagged.get(i, []))]
+    assert not missed
+    assert sum(len(f) for f in flagged.values()) <= len(planted) + 1
