@@ -121,3 +121,37 @@ def test_clean_rows_keep_all_columns(spark):
         assert got.columns == df.columns
         assert sorted(map(tuple, got.collect())) == sorted((d, t, "x", d) for d, t in docs if d not in bad)
     assert dc.decontaminate(df, bench.limit(0)).count() == len(docs)
+
+
+def test_short_items_and_scripts_without_blanks(spark):
+    items = [(1, "Capital of Peru?"), (2, "水的沸點是多少度？請說明理由。"), (3, "地球"), (4, "น้ำเดือดที่อุณหภูมิเท่าใด"), (5, "He said “never, ever again” — twice\u00a0today"), (6, "?!")]
+    docs = [
+        (10, "Capital of Peru?"),
+        (11, "Some line\n capital of PERU\nLima"),
+        (12, "The capital of Peru is Lima"),
+        (20, "問題：水的沸點是多少度？請說明理由。答案是一百度。"),
+        (21, "今天天氣很好，我們去公園散步。"),
+        (30, "地球"),
+        (31, "地球是圓的"),
+        (40, "คำถาม น้ำเดือดที่อุณหภูมิเท่าใด"),
+        (50, 'He said "never, ever again" - twice today'),
+        (51, "He said «never, ever again» – twice\u2009today"),
+        (60, "?!"),
+    ]
+    got = {(d, b): (n, m, w) for d, b, n, m, w in run(spark, docs, items)}
+    assert set(got) == {(10, 1), (11, 1), (20, 2), (30, 3), (40, 4), (50, 5), (51, 5)}
+    assert got[10, 1] == got[11, 1] == (1, 3, 3) and got[30, 3] == (1, 2, 2) and got[20, 2] == (1, 13, 13)
+    assert got[50, 5] == got[51, 5] == (1, 7, 7)
+    assert {d for d, *_ in run(spark, docs, items, block_bytes=10)} == {d for d, _ in got}
+
+
+def test_words_against_a_plain_version():
+    rnd = random.Random(9)
+    bits = [*"aZ0é水ーกำ", " ", "\u00a0", "“", "…", "\n", "😀", "́", "𠀀", "한국", "ß", "-", "。"]
+    texts = ["".join(rnd.choices(bits, k=rnd.randrange(0, 30))) for _ in range(300)]
+    got = dc._words(*wd.buffers(pa.array(texts, pa.string())))
+    data = "".join(texts).encode()
+    for i, t in enumerate(texts):
+        want = re.findall(r"[水ーกำ𠀀]|[aZ0é한국ß́]+", t)
+        spans = range(got.first[i], got.first[i + 1])
+        assert [data[got.start[s] : got.end[s]].decode() for s in spans] == want
