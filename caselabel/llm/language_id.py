@@ -167,7 +167,7 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, max_sample: int =
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "lang")
     chosen = bounded_sample(rows, "lang", per_language, max_sample)
     chosen = chosen.select("lang", "text", F.xxhash64("doc_id").alias("place"))
-    # Packed presence bits of the sample come to the driver: MAX_SAMPLE rows of 4 KB at most.
+    # Packed presence bits of the sample come to the driver: rows of 4 KB, MAX_SAMPLE or one per language.
     got = sorted(map(tuple, chosen.mapInArrow(featured, "lang string, bits binary, place long").collect()), key=lambda r: (r[2], r[0], r[1]))
     grids = [np.unpackbits(np.frombuffer(bits, np.uint8)) for _, bits, _ in got]
     grids = np.stack(grids) if grids else np.zeros((0, 1 << BUCKET_BITS), np.uint8)

@@ -6,10 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Strata that get a sample; the most frequent ones come first.
-MAX_STRATA = 200
-
 _STEPS = 1 << 30
+#: Rows of each stratum beyond three times its quota that are ranked, so that small quotas find theirs too.
+_SPARE = 20
 
 
 def fold_of(doc_id: Column, folds: int) -> Column:
@@ -20,18 +19,18 @@ def fold_of(doc_id: Column, folds: int) -> Column:
 def bounded_sample(df: DataFrame, stratum: str, per_stratum: int, max_rows: int) -> DataFrame:
     """At most ``per_stratum`` rows of each value of ``stratum`` and ``max_rows`` in all, by hash of ``doc_id``.
 
-    Repeatable.  Group counts give each stratum a hash threshold with a margin,
-    so about three times the wanted rows pass it whatever the table's size, and
+    Every value gets a row at least, so with more values than ``max_rows`` there
+    is one row of each.  Repeatable.  Group counts give each stratum a hash threshold with a margin,
+    so a little more than three times the wanted rows pass it whatever the table's size, and
     only those are ranked.  Null strata are left out.
     """
     counts = df.where(F.col(stratum).isNotNull()).groupBy(stratum).agg(F.count(F.lit(1)).alias("_rows"))
-    counts = counts.orderBy(F.desc("_rows"), stratum).limit(MAX_STRATA)
     share = F.count(F.lit(1)).over(W.partitionBy())
     quota = F.least(F.lit(per_stratum), F.floor(F.lit(max_rows) / share))
-    counts = counts.withColumn("_quota", F.greatest(quota, F.lit(1)))  # one row per stratum, MAX_STRATA at most
+    counts = counts.withColumn("_quota", F.greatest(quota, F.lit(1)))  # one row per stratum
     place = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(_STEPS))
     near = df.join(F.broadcast(counts), stratum).withColumn("_place", place)
-    near = near.where(F.col("_place") < F.lit(3.0 * _STEPS) * F.col("_quota") / F.col("_rows") + 1)
+    near = near.where(F.col("_place") < F.lit(float(_STEPS)) * (3 * F.col("_quota") + _SPARE) / F.col("_rows") + 1)
     rank = F.row_number().over(W.partitionBy(stratum).orderBy("_place", "doc_id"))
     return near.withColumn("_rank", rank).where("_rank <= _quota").drop("_rows", "_place", "_rank", "_quota")
 

@@ -133,3 +133,17 @@ def test_texts_in_no_known_language_go_at_the_pipelines_bar(spark):
     lost = [t for i, t in planted[len(strange) :] if i not in kept]
     assert not lost
     assert len(kept & {r.doc_id for r in docs.collect()}) >= 0.995 * docs.count()
+
+
+def test_250_small_languages(spark):
+    rnd = random.Random(11)
+    syllables = [["".join(rnd.choices("abcdefghijklmnopqrstuvwxyzäöüñçéèø", k=rnd.randrange(2, 5))) for _ in range(14)] for _ in range(250)]
+    say = lambda s: " ".join("".join(rnd.choices(s, k=rnd.randrange(1, 4))) for _ in range(rnd.randrange(20, 60)))
+    data = [(i, say(syllables[i % 250]), f"l{i % 250:03}") for i in range(250 * 12)]
+    data += [(10_000 + i, say(syllables[i % 200]), f"l{i % 200:03}") for i in range(1000)]  # the last 50 are rarer
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    got = li.identify(df).where("held_out").join(df.select("doc_id", "lang"), "doc_id").collect()
+    assert {r.lang_pred for r in got} >= {f"l{i:03}" for i in range(200, 250)} & {r.lang for r in got}
+    assert np.mean([r.lang == r.lang_pred for r in got]) > 0.97
+    model = li.fit(df, max_sample=100)  # fewer than languages: one row of each
+    assert len(model.languages) == 250
