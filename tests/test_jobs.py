@@ -4,7 +4,7 @@ import datetime as dt
 import re
 
 import pytest
-from conftest import SMALL
+from small import SMALL
 from pyspark.sql import functions as F
 
 from caselabel.catalog import REGISTRY

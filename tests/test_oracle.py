@@ -1,7 +1,7 @@
 """Every registered query against its SQL twin on the small tables."""
 
 import pytest
-from conftest import SMALL
+from small import SMALL
 
 import compare
 from caselabel.catalog import REGISTRY
