@@ -12,6 +12,7 @@ from caselabel.llm import (
     jaccard_join,
     language_id,
     line_dedup,
+    merkle,
     mixing,
     quality,
     secret_scan,
@@ -84,6 +85,48 @@ FROM cut
 """
 
 
+OP11_SQL = """
+WITH RECURSIVE fields AS (
+  SELECT doc_id, lang, n_chars,
+         concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                coalesce(strlen(lang) || ':' || lang, '-')) AS head,
+         coalesce(strlen(text) || ':' || text, '-') AS tail,
+         -- crc32 bit by bit: every byte is taken in, then eight shifts follow it
+         xor(4294967295, list_reduce([4294967295] || flatten([[ord(c), -1, -1, -1, -1, -1, -1, -1, -1] FOR c IN string_split(doc_id::VARCHAR, '')]),
+             lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END)) AS crc
+  FROM documents
+), hashed AS (
+  SELECT doc_id, lang, sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
+         CASE WHEN crc % 7 = 0 THEN sha256(head || coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') || tail) END AS bent
+  FROM fields
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS k, row_number() OVER () AS r FROM hashed
+), tree AS (
+  SELECT lang, 0 AS level, list(leaf ORDER BY k) AS nodes FROM leaves GROUP BY lang
+  UNION ALL
+  SELECT lang, level + 1, [sha256(nodes[i] || coalesce(nodes[i + 1], '')) FOR i IN range(1, len(nodes) + 1, 2)] FROM tree WHERE len(nodes) > 1
+), subroots AS (
+  SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS j FROM tree WHERE len(nodes) = 1
+), top AS (
+  SELECT 0 AS level, list(subroot ORDER BY j) AS nodes FROM subroots
+  UNION ALL
+  SELECT level + 1, [sha256(nodes[i] || coalesce(nodes[i + 1], '')) FOR i IN range(1, len(nodes) + 1, 2)] FROM top WHERE len(nodes) > 1
+), steps AS (
+  SELECT r, 0 AS part, level, k >> level AS place, nodes FROM leaves JOIN tree ON leaves.lang IS NOT DISTINCT FROM tree.lang WHERE len(nodes) > 1
+  UNION ALL
+  SELECT r, 1, level, j >> level, nodes FROM leaves JOIN subroots ON leaves.lang IS NOT DISTINCT FROM subroots.lang CROSS JOIN top WHERE len(nodes) > 1
+), paths AS (
+  SELECT r, list(coalesce(CASE WHEN place % 2 = 1 THEN 'L' || nodes[place] ELSE 'R' || nodes[place + 2] END, '-') ORDER BY part, level) AS path FROM steps GROUP BY r
+)
+SELECT doc_id, leaf, subroot, top.nodes[1] AS root, sha256(array_to_string([s[2:] FOR s IN coalesce(path, [])], '')) AS proof_sha256,
+       list_reduce([coalesce(bent, leaf)] || coalesce(path, []),
+           lambda a, s: sha256(CASE s[1] WHEN 'L' THEN s[2:] || a WHEN 'R' THEN a || s[2:] ELSE a END)) AS folded_root,
+       folded_root = root AS verified
+FROM leaves JOIN subroots ON leaves.lang IS NOT DISTINCT FROM subroots.lang CROSS JOIN top LEFT JOIN paths USING (r)
+WHERE len(top.nodes) = 1
+"""
+
+
 @query("op1_decontaminate")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -134,3 +177,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_language_id")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op11_merkle_manifest", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
