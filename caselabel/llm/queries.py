@@ -14,6 +14,7 @@ from caselabel.llm import (
     line_dedup,
     merkle,
     mixing,
+    prefix_trie,
     quality,
     secret_scan,
     token_count,
@@ -85,15 +86,17 @@ FROM cut
 """
 
 
-OP11_SQL = """
+#: Unsigned crc32 of a number's decimal text: every byte is taken in, then eight shifts follow it.
+CRC = """xor(4294967295, list_reduce([4294967295] || flatten([[ord(c), -1, -1, -1, -1, -1, -1, -1, -1] FOR c IN string_split({}::VARCHAR, '')]),
+             lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END))"""
+
+OP11_SQL = f"""
 WITH RECURSIVE fields AS (
   SELECT doc_id, lang, n_chars,
          concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
                 coalesce(strlen(lang) || ':' || lang, '-')) AS head,
          coalesce(strlen(text) || ':' || text, '-') AS tail,
-         -- crc32 bit by bit: every byte is taken in, then eight shifts follow it
-         xor(4294967295, list_reduce([4294967295] || flatten([[ord(c), -1, -1, -1, -1, -1, -1, -1, -1] FOR c IN string_split(doc_id::VARCHAR, '')]),
-             lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END)) AS crc
+         {CRC.format("doc_id")} AS crc
   FROM documents
 ), hashed AS (
   SELECT doc_id, lang, sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
@@ -126,6 +129,42 @@ FROM leaves JOIN subroots ON leaves.lang IS NOT DISTINCT FROM subroots.lang CROS
 WHERE len(top.nodes) = 1
 """
 
+OP12_SQL = f"""
+WITH turns AS (
+  SELECT conv_id, coalesce(text, '') AS text, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+  SELECT DISTINCT conv_id AS c, {CRC.format("conv_id")} % 9 AS h FROM turns
+), rebuilt AS (
+  SELECT c, 0 AS part, pos, digest, strlen(text) AS size FROM ids JOIN turns ON turns.conv_id = c - c % 5 WHERE pos <= h
+  UNION ALL
+  SELECT c, 1, pos, digest, strlen(text) FROM ids JOIN turns ON turns.conv_id = c WHERE pos > h
+), steps AS (
+  SELECT c, size, row_number() OVER own AS depth, string_agg(digest, '') OVER own AS path
+  FROM rebuilt WINDOW own AS (PARTITION BY c ORDER BY part, pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), places AS (
+  SELECT c, depth, size, sha256(path) AS node, coalesce(lag(sha256(path)) OVER (PARTITION BY c ORDER BY depth), '') AS parent FROM steps
+  UNION ALL
+  SELECT c, 0, 0, '', NULL FROM ids
+), marked AS (
+  SELECT *, depth = max(depth) OVER (PARTITION BY c) AS last FROM places
+), nodes AS (
+  SELECT node, parent, depth, min(c) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+         sha256(coalesce(string_agg(c, ',' ORDER BY c) FILTER (WHERE last), '')) AS ends_sha256
+  FROM marked GROUP BY node, parent, depth
+), counted AS (
+  SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN (SELECT parent, count(*) AS n FROM nodes GROUP BY parent) k ON k.parent = node
+), under AS (
+  SELECT DISTINCT a.node AS above, b.node AS node FROM places a JOIN places b ON a.c = b.c AND a.depth <= b.depth
+), sums AS (
+  SELECT above, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum((n_convs - 1) * size)::BIGINT AS saved_tokens
+  FROM under JOIN counted USING (node) GROUP BY above
+)
+SELECT t.conv_id, t.depth, p.conv_id AS parent_conv_id, t.n_convs, t.n_children, n_leaves, saved_tokens, t.ends_sha256
+FROM counted t JOIN sums ON above = t.node LEFT JOIN counted p ON p.node = t.parent
+"""
+
 
 @query("op1_decontaminate")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,3 +221,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_merkle_manifest", OP11_SQL)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+@query("op12_prefix_trie", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
