@@ -14,6 +14,7 @@ from caselabel.llm import (
     line_dedup,
     merkle,
     mixing,
+    nearest,
     prefix_trie,
     quality,
     secret_scan,
@@ -226,3 +227,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_prefix_trie", OP12_SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_nearest")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(table(spark, sf_dir, "embeddings"))
