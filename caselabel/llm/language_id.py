@@ -16,7 +16,8 @@ at all: a text like none of the sample is far from every landmark and gets
 middling outputs.  So a text must also know its language: the share of its
 n-grams that the language's sample has must reach what all but ``LOST`` of that
 sample's own texts reach, each held against the others.  Short texts, whose
-shares vary by chance, get an allowance.  Other texts are in no known language.
+shares vary by chance, get an allowance.  Other texts are in no known language:
+a filter (``keep_known``) drops them, a prediction names the nearest all the same.
 
 The model is fitted on a bounded sample of labelled rows, ``PER_LANGUAGE`` of
 each language and ``MAX_SAMPLE`` in all; every text is scored whole.
@@ -129,16 +130,16 @@ class Model:
         bar = self.bars[best]
         return share >= bar - SLACK * np.sqrt(_TOGETHER * bar * (1 - bar) / size)
 
-    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+    def judge(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Nearest language, its score, and whether the text is in a known language at all."""
         grid, with_letter = presence(texts)
         if not self.languages:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts))
+            return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
         out = self.scores(grid)
         best = out.argmax(axis=1)
         score = np.clip((out[np.arange(len(texts)), best].astype(np.float64) + 1) / 2, 0, 1)
-        known = with_letter & self.known(grid, best)
-        names = [self.languages[b] if ok else UNKNOWN for b, ok in zip(best, known, strict=True)]
-        return names, np.where(known, score, 0.0)
+        names = [self.languages[b] if ok else UNKNOWN for b, ok in zip(best, with_letter, strict=True)]
+        return names, np.where(with_letter, score, 0.0), with_letter & self.known(grid, best)
 
 
 def _unit(grids: np.ndarray) -> np.ndarray:
@@ -177,16 +178,15 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, max_sample: int =
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` (``doc_id, text``) as ``(doc_id, lang_pred, score)``, one row per row.
 
-    Null texts, texts without a letter and texts in none of the languages get
-    ``und`` and score 0; so does everything when the model has seen no language.
-    Long texts are read whole.
+    Null texts and texts without a letter get ``und`` and score 0; so does
+    everything when the model has seen no language.  Long texts are read whole.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches):
         for batch in batches:
             for piece, texts in _batches(batch, 1):
-                names, values = shared.value.predict(texts)
+                names, values, _ = shared.value.judge(texts)
                 yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(names, pa.string()), pa.array(values, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -200,14 +200,14 @@ def identify(docs: DataFrame, folds: int = 3, held: int = 1) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, model: Model, least: float) -> DataFrame:
-    """``docs`` without the rows whose language is unknown or scores below ``least``; columns stay, nothing is shuffled."""
+    """``docs`` without the rows in no known language and those whose language scores below ``least``; columns stay, nothing is shuffled."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
     def keep(batches):
         for batch in batches:
             for piece, texts in _batches(batch, at):
-                names, values = shared.value.predict(texts)
-                yield piece.filter(pa.array([n != UNKNOWN and v >= least for n, v in zip(names, values, strict=True)]))
+                _, values, known = shared.value.judge(texts)
+                yield piece.filter(pa.array(known & (values >= least)))
 
     return docs.mapInArrow(keep, docs.schema)

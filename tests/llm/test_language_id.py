@@ -1,5 +1,6 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -84,6 +85,39 @@ def test_presence_and_ridge_against_plain_versions():
     assert np.abs(model.scores(grid) - want).max() < 0.02
 
 
+def test_known_rule_against_a_plain_version():
+    labelled = rows(60)
+    others = ["Быстрая коричневая лиса", "xq zv kj wq", "", "12 34", "no", labelled[0][1][:12], labelled[1][1] + " Быстрая лиса прыгает"]
+    texts = [t for _, t, _ in labelled] + others
+    grid, with_letter = li.presence(texts)
+    model = li.Model.fit(grid[:60], [lang for *_, lang in labelled], landmarks=5)
+    names, _, known = model.judge(texts)
+    sets = [plain_presence(t) for t in texts]
+    bars, seen = {}, {}
+    for c in sorted({lang for *_, lang in labelled}):
+        own = [sets[i] for i in range(60) if labelled[i][2] == c]
+        holders = Counter(x for s in own for x in s)
+        seen[c] = set(holders)
+        bars[c] = float(np.quantile([sum(holders[x] > 1 for x in s) / max(len(s), 1) for s in own], li.LOST))
+    for text, name, mine, s, letter in zip(texts, names, known, sets, with_letter, strict=True):
+        if not letter:
+            assert name == "und" and not mine
+            continue
+        bar, size = bars[name], max(len(s), 1)
+        want = len(s & seen[name]) / size >= bar - li.SLACK * np.sqrt(6 * bar * (1 - bar) / size)
+        assert mine == want, text
+    assert known[:60].all() and not known[60] and not known[61]
+
+
+def test_every_text_with_a_letter_has_a_learned_language(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    strange = spark.createDataFrame([(10**9 + i, t) for i, t in enumerate(["Быстрая лиса", "これは日本語", "xqzvkj", "ß"])], "doc_id long, text string")
+    got = li.identify(docs.unionByName(strange, allowMissingColumns=True)).join(docs.select("doc_id", "text"), "doc_id", "left").collect()
+    learned = {r.lang for r in docs.select("lang").distinct().collect()}
+    assert {r.lang_pred for r in got if r.doc_id >= 10**9} <= learned
+    assert all((r.lang_pred == "und") != any(c.isalpha() for c in r.text or "") for r in got if r.doc_id < 10**9)
+
+
 def test_odd_rows(spark):
     data = [(i, t, lang, 1) for i, t, lang in rows(120)]
     data += [(900, None, "aa", 1), (901, "", None, 1), (902, "12 + 34 !!", "aa", 1), (903, "mokuta " * 30_000, None, 1), (904, "norima", "aa", 1), (904, "norima", "aa", 1), (None, "mokuta sirano", "aa", 1)]

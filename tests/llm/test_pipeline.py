@@ -44,8 +44,8 @@ def test_run_against_plain_stages(spark, steps):
     source = {r.doc_id: r.source for r in steps[0].collect()}
     rows = [(r.doc_id, r.text) for r in steps[0].collect()]
     model = language_id.fit(steps[0].where(fold_of(steps[0].doc_id, 3) != 1))
-    names, scores = model.predict([t or "" for _, t in rows])
-    rows = [r for r, n, s in zip(rows, names, scores, strict=True) if n != "und" and s >= cp.LEAST_LANGUAGE_SCORE]
+    _, scores, known = model.judge([t or "" for _, t in rows])
+    rows = [r for r, k, s in zip(rows, known, scores, strict=True) if k and s >= cp.LEAST_LANGUAGE_SCORE]
     assert sorted(rows) == sorted((r.doc_id, r.text) for r in steps[1].collect())
     rows = plain_lines(rows)
     assert sorted(rows) == sorted((r.doc_id, r.text) for r in steps[2].collect())
