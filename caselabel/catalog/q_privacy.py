@@ -11,8 +11,19 @@ from caselabel.functions import text as tx
 from caselabel.operators import privacy as pv
 
 
+def _turned_sql(value: str, rounds: str, sign: str) -> str:
+    """Ten rounds over the halves of 15 digits: seven and eight."""
+    step = "CAST('0x' || substring(sha256('{secret}' || r[1] || ':' || h[{other}]), 1, 15) AS BIGINT) % {size}"
+    high = step.format(secret=ro.SECRET, other=2, size=10**7)
+    low = step.format(secret=ro.SECRET, other=1, size=10**8)
+    number = f"CAST({value} AS BIGINT)"
+    turned = f"""list_reduce([[{number} // 100000000, {number} % 100000000]] || [[x, 0] FOR x IN {rounds}], lambda h, r: CASE WHEN r[1] % 2 = 0
+      THEN [(h[1] {sign} {high} + 10000000) % 10000000, h[2]] ELSE [h[1], (h[2] {sign} {low} + 100000000) % 100000000] END)"""
+    return f"list_transform([{turned}], lambda h: lpad(CAST(h[1] * 100000000 + h[2] AS VARCHAR), 15, '0'))[1]"
+
+
 def _mask_sql(value: str) -> str:
-    return f"lpad(CAST(CAST('0x' || substring(sha256('{ro.SECRET}' || {value}), 1, 15) AS BIGINT) % 1000000000000000 AS VARCHAR), 15, '0')"
+    return _turned_sql(value, "[0, 1, 2, 3, 4, 5, 6, 7, 8, 9]", "+")
 
 
 @query("mask_key", f'SELECT NDD, {_mask_sql("NDD")} AS "NDD_MASKED" FROM (SELECT {ro.KEY.format("l_orderkey")} AS NDD FROM lineitem)')
@@ -21,6 +32,18 @@ def mask_key(t):
     return pv.mask_key(lines, "NDD", ro.SECRET)
 
 
+@query(
+    "unmask_key",
+    f"""SELECT o_orderkey, {ro.KEY.format("o_orderkey")} AS mask, {_turned_sql(ro.KEY.format("o_orderkey"), "[9, 8, 7, 6, 5, 4, 3, 2, 1, 0]", "-")} AS key,
+    true AS same FROM orders""",
+)
+def unmask_key(t):
+    """Every key taken for a mask: what it stands for, masked again, is the same."""
+    keys = t.orders.select("o_orderkey", tx.zero_pad_key(F.col("o_orderkey").cast("string")).alias("mask"))
+    back = pv.unmask_key(keys, "mask", ro.SECRET, "key")
+    return pv.mask_key(back, "key", ro.SECRET, "_again").select("o_orderkey", "mask", "key", (F.col("_again") == F.col("mask")).alias("same"))
+
+
 @query("mask_key_hex", f"SELECT c_custkey, sha256('{ro.SECRET}' || c_name) AS mascara FROM customer")
 def mask_key_hex(t):
     return t.customer.select("c_custkey", pp.masked_hex(F.col("c_name"), ro.SECRET).alias("mascara"))

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from caselabel import vocab
 
+#: Rounds of the permutation behind the masks of digits.
+ROUNDS = 10
+
 
 def age_group(age: Column) -> Column:
     """Life-stage group with closed integer bounds; other values have no group."""
@@ -64,16 +69,46 @@ def valid_tax_id(tax_id: Column) -> Column:
 
 
 def masked_digits(value: Column, secret: str, width: int = vocab.KEY_WIDTH) -> Column:
-    """Repeatable mask of ``width`` digits derived from a keyed SHA-256.
+    """Repeatable mask of a key of ``width`` digits, again ``width`` digits and different for every key.
 
-    The first 15 hex digits of the hash, reduced modulo ``10 ** width``.  So
-    short a mask may collide on very many keys (see ``operators.privacy``);
-    ``masked_hex`` does not.
+    A keyed permutation: the key's digits are cut into two halves, and each of
+    ``ROUNDS`` rounds adds to one half, modulo its size, a keyed hash of the other
+    half.  Such a round can be undone (``unmasked_digits``), so two keys never
+    share a mask.  Any other text, of another length or with other characters,
+    gets its whole hash (``masked_hex``), which no key of digits can get.
     """
-    if not 1 <= width <= 17:
-        raise ValueError("a mask has between 1 and 17 digits")
-    number = F.conv(F.substring(_keyed(value, secret), 1, 15), 16, 10).cast("bigint")
-    return F.lpad(F.pmod(number, F.lit(10**width)).cast("string"), width, "0")
+    return _permuted(value, secret, width, range(ROUNDS), 1, masked_hex(value, secret))
+
+
+def unmasked_digits(mask: Column, secret: str, width: int = vocab.KEY_WIDTH) -> Column:
+    """The key that ``masked_digits`` has masked; NULL for what is no mask of digits."""
+    return _permuted(mask, secret, width, range(ROUNDS - 1, -1, -1), -1, F.lit(None).cast("string"))
+
+
+def _permuted(value: Column, secret: str, width: int, rounds: Iterable[int], sign: int, otherwise: Column) -> Column:
+    if not 2 <= width <= 17:
+        raise ValueError("a mask has between 2 and 17 digits")
+    _require(secret)
+    high, low = 10 ** (width // 2), 10 ** (width - width // 2)
+    number = value.try_cast("bigint")
+
+    def added(round_: Column, half: Column, other: Column, size: int) -> Column:
+        hashed = _keyed(F.concat_ws(":", round_.cast("string"), other.cast("string")), secret)
+        step = F.conv(F.substring(hashed, 1, 15), 16, 10).cast("bigint")
+        return F.pmod(half + F.lit(sign) * F.pmod(step, F.lit(size)), F.lit(size))
+
+    def turn(halves: Column, round_: Column) -> Column:
+        even = round_ % 2 == 0
+        return F.struct(
+            F.when(even, added(round_, halves["high"], halves["low"], high)).otherwise(halves["high"]).cast("bigint").alias("high"),
+            F.when(even, halves["low"]).otherwise(added(round_, halves["low"], halves["high"], low)).cast("bigint").alias("low"),
+        )
+
+    low_size = F.lit(low).cast("bigint")
+    halves = F.struct(F.call_function("div", number, low_size).alias("high"), F.pmod(number, low_size).alias("low"))
+    turned = F.aggregate(F.array(*[F.lit(r) for r in rounds]), halves, turn, lambda h: h["high"] * F.lit(low) + h["low"])
+    shaped = value.rlike(f"^[0-9]{{{width}}}$")
+    return F.when(shaped, F.lpad(turned.cast("string"), width, "0")).when(value.isNotNull(), otherwise)
 
 
 def masked_hex(value: Column, secret: str) -> Column:
@@ -86,7 +121,11 @@ def masked_name(value: Column, secret: str, prefix: str = "nombre_") -> Column:
     return F.concat(F.lit(prefix), masked_hex(value, secret))
 
 
-def _keyed(value: Column, secret: str) -> Column:
+def _require(secret: str) -> None:
     if not secret:
         raise ValueError("masking needs a secret; plain hashes of short keys can be listed")
+
+
+def _keyed(value: Column, secret: str) -> Column:
+    _require(secret)
     return F.sha2(F.concat(F.lit(secret), value), 256)

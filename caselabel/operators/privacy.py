@@ -9,10 +9,15 @@ from caselabel.functions import people as pp
 
 
 def mask_key(df: DataFrame, key: str, secret: str, out: str = "NDD_MASKED") -> DataFrame:
-    """Add a repeatable 15-digit mask of the key; the secret comes from the caller."""
+    """Add a repeatable 15-digit mask of the key, no two keys alike; the secret comes from the caller."""
     return df.withColumn(out, pp.masked_digits(F.col(key), secret))
 
 
+def unmask_key(df: DataFrame, mask: str, secret: str, out: str = "NDD") -> DataFrame:
+    """Add the key behind a mask of digits, for the holder of the secret."""
+    return df.withColumn(out, pp.unmasked_digits(F.col(mask), secret))
+
+
 def mask_names(df: DataFrame, name: str, secret: str, out: str = "NOMBRE_OFUZCADO") -> DataFrame:
     """Add a repeatable pseudonym of a name."""
     return df.withColumn(out, pp.masked_name(F.col(name), secret))
