@@ -15,7 +15,7 @@ from caselabel.operators import snapshots as sn
 from caselabel.operators.datasets import class_ids
 from caselabel.plans.weekly import UPDATED, apply_update, weekly_run
 from caselabel.session import workspace
-from caselabel.sources import files, sinks, tables
+from caselabel.sources import files, keyed, sinks, tables
 
 WITH_NORM = f"WITH {ro.NORM_SQL}"
 
@@ -280,6 +280,26 @@ def update_from_copies_nulls(t):
     )
 
 
+_FEW_SQL = f"SELECT NDD, delitos_seguimiento FROM ({ro.COMMISSION_RAW_SQL}) WHERE NDD LIKE '%77'"
+
+
+@query(
+    "update_keyed",
+    f"""SELECT c.NDD, c.DELITO_DESAGREGACION, length(c.RELATO) AS n_text, CASE WHEN m.NDD IS NOT NULL THEN m.delitos_seguimiento ELSE c.delitos_seguimiento_predicted END
+    AS delitos_seguimiento_predicted FROM ({ro.CASES_SQL}) c LEFT JOIN ({_FEW_SQL}) m ON c.NDD = m.NDD""",
+)
+def update_keyed(t):
+    """The cases kept in buckets of their key; the commission's labels of a few of them are set in place."""
+    path, journal = workspace(t.spark, "keyed"), workspace(t.spark, "keyed-journal")
+    keyed.save_keyed(t.cases().drop("lang", "source", "n_chars", "doc_id"), path, "NDD", 32)
+    few = t.commission_raw().where(F.col("NDD").endswith("77"))
+    few = few.select("NDD", F.col("delitos_seguimiento").alias("delitos_seguimiento_predicted"))
+    columns = ["delitos_seguimiento_predicted"]
+    keyed.update_keyed(t.spark, path, few, "NDD", columns, [F.col(c) for c in columns], 32, journal)
+    out = keyed.read_keyed(t.spark, path)
+    return out.select("NDD", "DELITO_DESAGREGACION", F.length("RELATO").cast("bigint").alias("n_text"), *columns)
+
+
 def _repair_sql(column: str, index: int) -> str:
     from caselabel import vocab
 
