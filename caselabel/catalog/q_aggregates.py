@@ -165,6 +165,46 @@ def boxplot_stats_approx(t):
     return ag.boxplot_stats(t.norm(), "words", approximate=True)
 
 
+#: A column with about as many values as rows.
+_PRICES_SQL = "SELECT l_returnflag, CASE WHEN l_linenumber <> 7 THEN l_extendedprice * (1 - l_discount) * (1 + l_tax) - 40000 END AS words FROM lineitem"
+
+
+def prices(t):
+    net = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax")) - 40000
+    return t.lineitem.select(F.when(F.col("l_linenumber") != 7, net).alias("words"))
+
+
+_MANY = """SELECT COUNT(words) AS n, round(avg(words), 6) AS mean, round(stddev_samp(words), 6) AS std, min(words) AS min, max(words) AS max,
+  quantile_cont(words, 0.25) AS q1, quantile_cont(words, 0.5) AS median, quantile_cont(words, 0.75) AS q3 FROM norm"""
+_ROUNDED = "round({0}, 6) AS {0}"
+
+
+@query(
+    "describe_many_values",
+    f"""WITH norm AS ({_PRICES_SQL}), d AS ({_MANY}) SELECT n, {', '.join(_ROUNDED.format(c) for c in ('mean', 'std', 'min', 'max', 'q1', 'median', 'q3'))} FROM d""",
+)
+def describe_many_values(t):
+    return rounded(ag.describe(prices(t), "words", distinct="many"), "mean", "std", "min", "max", "q1", "median", "q3")
+
+
+@query(
+    "boxplot_many_values",
+    f"""WITH norm AS ({_PRICES_SQL}), d AS ({_MANY}) SELECT round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3, round(q3 - q1, 6) AS iqr,
+    round(greatest(q1 - 1.5 * (q3 - q1), min), 6) AS lower_fence, round(q3 + 1.5 * (q3 - q1), 6) AS upper_fence FROM d""",
+)
+def boxplot_many_values(t):
+    return rounded(ag.boxplot_stats(prices(t), "words", distinct="many"), "q1", "median", "q3", "iqr", "lower_fence", "upper_fence")
+
+
+@query(
+    "exact_quantiles",
+    f"""WITH norm AS ({_PRICES_SQL}) SELECT {', '.join(f'round(quantile_cont(words, {q}), 6) AS {n}' for n, q in (('p01', 0.01), ('p10', 0.1), ('p90', 0.9), ('p99', 0.99), ('p999', 0.999)))} FROM norm""",
+)
+def exact_quantiles(t):
+    shares = {"p01": 0.01, "p10": 0.1, "p90": 0.9, "p99": 0.99, "p999": 0.999}
+    return rounded(ag.exact_quantiles(prices(t), "words", shares), *shares)
+
+
 @query(
     "histogram",
     f"""{WITH_NORM}, r AS (SELECT min(words) AS lo, (max(words) - min(words)) / 50.0 AS width FROM norm),

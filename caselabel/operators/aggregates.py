@@ -158,14 +158,70 @@ def _quantile(counts_column: str, at: float, approximate: bool) -> Column:
     return F.percentile(counts_column, at, F.col("n"))
 
 
-def describe(df: DataFrame, column: str, approximate: bool = False) -> DataFrame:
+def _ordered_bits(x: Column) -> Column:
+    """A long that sorts as the double does: its bits, those below the sign turned round for negative numbers."""
+    bits = F.call_function("reflect", F.lit("java.lang.Double"), F.lit("doubleToLongBits"), x + F.lit(0.0)).cast("bigint")
+    return F.transform(F.array(bits), lambda b: b.bitwiseXOR(F.shiftright(b, 63).bitwiseAND(F.lit(2**63 - 1))))[0]
+
+
+def exact_quantiles(df: DataFrame, column: str, at: dict[str, float]) -> DataFrame:
+    """One row with a double per entry of ``at`` (name to share), interpolated between neighbours as ``percentile`` does.
+
+    Radix selection: a rank is narrowed down by 16 bits of the ordered value at a
+    time.  Each of four passes counts the rows by the next 16 bits among those
+    that share the bits found so far, which Spark combines before the shuffle, and
+    a running sum over these counts, 65 536 a rank at most, gives the next bits.
+    No value is shuffled or sorted, so a column with as many values as rows
+    needs no more memory than one with few.  All values are taken as doubles.
+    """
+    values = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("x"))
+    values = values.select("x", _ordered_bits(F.col("x")).alias("b"))
+    spots = [(name, side, share) for name, share in at.items() for side in ("low", "high")]
+    total = F.col("total") - 1
+    ends = [F.floor(total * share) if side == "low" else F.ceil(total * share) for _, side, share in spots]
+    ranks = F.array(*[F.struct(F.lit(i).alias("spot"), e.cast("bigint").alias("rank")) for i, e in enumerate(ends)])
+    # Two rows per quantile from here on: small by construction, whatever the table's size.
+    wanted = values.agg(F.count(F.lit(1)).alias("total")).where("total > 0").select("total", F.inline(ranks))
+    wanted = wanted.withColumn("bits", F.lit(0).cast("bigint"))
+    running = W.partitionBy("spot").orderBy("digit").rowsBetween(W.unboundedPreceding, -1)
+    for level in range(4):
+        shift = 48 - 16 * level
+        digit = F.shiftright("b", shift) if level == 0 else F.shiftright("b", shift).bitwiseAND(F.lit(0xFFFF))
+        prefix = F.lit(0).cast("bigint") if level == 0 else F.shiftright("b", shift + 16)
+        rows = values.select("x", prefix.alias("bits"), digit.alias("digit"))
+        if level:
+            rows = rows.join(F.broadcast(wanted.select("bits").distinct()), "bits", "left_semi")
+        counts = rows.groupBy("bits", "digit").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("x"))
+        before = F.coalesce(F.sum("n").over(running), F.lit(0))
+        placed = counts.join(F.broadcast(wanted.drop("x")), "bits").withColumn("before", before)
+        hit = placed.where((F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("n")))
+        bits = F.col("digit") if level == 0 else F.shiftleft("bits", 16).bitwiseOR(F.col("digit"))
+        wanted = hit.select("total", "spot", (F.col("rank") - F.col("before")).alias("rank"), bits.alias("bits"), "x")
+    found = wanted.agg(
+        F.max("total").alias("total"), *[F.max(F.when(F.col("spot") == i, F.col("x"))).alias(f"v{i}") for i in range(len(spots))]
+    )
+    names = list(at)
+    parts = [total * at[name] - F.floor(total * at[name]) for name in names]
+    return found.select(
+        *[(F.col(f"v{2 * i}") + (F.col(f"v{2 * i + 1}") - F.col(f"v{2 * i}")) * parts[i]).alias(name) for i, name in enumerate(names)]
+    )
+
+
+QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+
+
+def describe(df: DataFrame, column: str, approximate: bool = False, distinct: str = "few") -> DataFrame:
     """Count, mean, sample standard deviation, minimum, quartiles and maximum.
 
-    Exact quartiles are taken from distinct values with their copies, so their
-    memory grows with distinct values only (word counts: at most the longest
-    text).  For columns with unbounded distinct values use ``approximate``.
+    Exact quartiles of a column with ``few`` distinct values (word counts: at most
+    the longest text) are taken from these with their copies, in one aggregate;
+    those of a column with ``many`` come from ``exact_quantiles``, which holds no
+    list of values anywhere but reads the column five times.  ``approximate``
+    takes them from a sketch.
     """
-    if approximate:
+    if distinct not in ("few", "many"):
+        raise ValueError("distinct is few or many")
+    if approximate or distinct == "many":
         basis, x = df.where(F.col(column).isNotNull()), column
         stats = [F.count(x), F.avg(x), F.stddev_samp(x), F.min(x), F.max(x)]
     else:
@@ -174,18 +230,20 @@ def describe(df: DataFrame, column: str, approximate: bool = False) -> DataFrame
         mean = s / n
         variance = F.try_divide(q - s * mean, n - 1)
         stats = [F.coalesce(n, F.lit(0)), mean, F.sqrt(F.greatest(variance, F.lit(0.0))), F.min("x"), F.max("x")]
-    names = ["n", "mean", "std", "min", "max"]
-    quarters = [_quantile(x, q, approximate).cast("double").alias(name) for q, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))]
-    return basis.agg(*[s.alias(n) for s, n in zip(stats, names)], *quarters)
+    named = [s.alias(n) for s, n in zip(stats, ["n", "mean", "std", "min", "max"])]
+    if distinct == "many" and not approximate:
+        quarters = exact_quantiles(df, column, QUARTILES).select(F.struct(*QUARTILES).alias("q")).scalar()
+        return basis.agg(*named).withColumn("_q", quarters).select("*", "_q.*").drop("_q")
+    return basis.agg(*named, *[_quantile(x, q, approximate).cast("double").alias(name) for name, q in QUARTILES.items()])
 
 
-def boxplot_stats(df: DataFrame, column: str, approximate: bool = False) -> DataFrame:
+def boxplot_stats(df: DataFrame, column: str, approximate: bool = False, distinct: str = "few") -> DataFrame:
     """Quartiles, spread and fences; only the lower fence is clamped to the data.
 
-    See ``describe`` for ``approximate``.
+    See ``describe`` for ``approximate`` and ``distinct``.
     """
     iqr = F.col("q3") - F.col("q1")
-    return describe(df, column, approximate).select(
+    return describe(df, column, approximate, distinct).select(
         "q1",
         "median",
         "q3",
