@@ -13,6 +13,7 @@ from caselabel.operators import aggregates as ag
 from caselabel.operators import datasets as ds
 from caselabel.operators import joins as jn
 from caselabel.operators import keys as ky
+from caselabel.operators import similar as sm
 
 _LAST_LINE = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey
   ORDER BY l_shipdate DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC) AS rn FROM lineitem) WHERE rn = 1"""
@@ -192,6 +193,32 @@ def fuzzy_category_map(t):
     return jn.fuzzy_category_map(raw, "raw", vocab.VALIDADOS)
 
 
+_WORDS_SQL = """w AS (SELECT DISTINCT unnest(regexp_split_to_array(text, '[ \\n]')) AS word FROM documents),
+    g AS (SELECT DISTINCT unnest(regexp_split_to_array(text, '[ \\n]')) AS term FROM benchmark),
+    p AS (SELECT word, term, CAST(round(100 * (1 - levenshtein(word, term) / CAST(greatest(length(word), length(term)) AS DOUBLE))) AS INTEGER) AS score
+      FROM w, g WHERE regexp_full_match(word, '[!-~]{8,}') AND regexp_full_match(term, '[!-~]{8,}') AND abs(length(word) - length(term)) <= 0.2 * greatest(length(word), length(term)))"""
+
+
+def long_words(df, name):
+    """Words of eight characters or more; the twin's edit distance counts bytes, so only of ASCII."""
+    return df.select(F.explode(F.split("text", "[ \\n]")).alias(name)).where(F.col(name).rlike("^[!-~]{8,}$"))
+
+
+@query("similar_pairs", f"""WITH {_WORDS_SQL} SELECT word AS "left", term AS "right", score FROM p WHERE score > 80""")
+def similar_pairs(t):
+    return sm.similar_pairs(long_words(t.documents, "word"), "word", long_words(t.benchmark, "term"), "term", 80)
+
+
+@query(
+    "fuzzy_join",
+    f"""WITH {_WORDS_SQL}, b AS (SELECT word, first(term ORDER BY score DESC, term) AS match, max(score) AS score FROM p WHERE score > 85 GROUP BY word)
+    SELECT DISTINCT word, coalesce(match, 'No match found') AS match, score FROM w LEFT JOIN b USING (word) WHERE regexp_full_match(word, '[!-~]{{8,}}')""",
+)
+def fuzzy_join(t):
+    """Each long word of the documents with the word of the benchmark that it may be a misspelling of."""
+    return sm.best_matches(long_words(t.documents, "word"), "word", long_words(t.benchmark, "term"), "term")
+
+
 @query("dedupe_last", f"SELECT l_orderkey, l_suppkey, l_partkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate FROM ({_LAST_LINE})")
 def dedupe_last(t):
     return dated(ky.dedupe_last(lines(t), ["l_orderkey"], line_order()), "l_shipdate")
