@@ -105,7 +105,8 @@ def lift(nodes: DataFrame, carry: list[str], fanout: int, levels: int) -> DataFr
         by = [F.expr(e) for e in ("tree", "block", "size AS width", f"idx div {fanout} AS idx")]
         now = now.groupBy(*by).agg(*[F.expr(e) for e in pivots])
         now = now.selectExpr("tree", "block", f"(width + {fanout - 1}) div {fanout} AS size", "idx", hashed, f"concat({', '.join(below)}) AS members")
-    return now.select("tree", "idx", "size", "hash", "members")
+    # The one node left of a block has its number; by this name the dealing by block serves the join with the level above.
+    return now.select("tree", F.col("block").alias("idx"), "size", "hash", "members")
 
 
 class Forest:
