@@ -138,6 +138,23 @@ def multi_file_concat(t):
     return files.read_yearly_files(t.spark, [first, second])
 
 
+_PARTS_SQL = "lpad(CAST(l_orderkey AS VARCHAR), 15, '0') AS NDD, l_returnflag AS RELATO, CAST(substring(strftime(l_shipdate, '%Y'), 1, 4) AS INTEGER) AS anio"
+
+
+@query("many_files_concat", f"SELECT {_PARTS_SQL} FROM lineitem")
+def many_files_concat(t):
+    """Folders of every year in three kinds, each kind with a header of its own."""
+    root = workspace(t.spark, "many-files")
+    lines = t.lineitem.select("l_orderkey", "l_returnflag", F.year("l_shipdate").alias("anio"), (F.col("l_linenumber") % 3).alias("kind"))
+    paths = []
+    for kind, header in enumerate((("NUMERO", "TEXTO"), ("num_ndd", "relato"), ("a b", "c.d"))):
+        part = lines.where(F.col("kind") == kind).select(F.col("l_orderkey").alias(header[0]), F.col("l_returnflag").alias(header[1]), "anio")
+        part.repartition("anio").write.partitionBy("anio").parquet(f"{root}/{kind}")
+        years = t.spark.read.parquet(f"{root}/{kind}").select("anio").distinct().collect()  # a row per year
+        paths += [f"{root}/{kind}/anio={r.anio}" for r in years]
+    return files.read_yearly_files(t.spark, paths)
+
+
 @query(
     "scan_typed_labelled",
     """WITH f AS (SELECT o_orderpriority AS relato, o_orderstatus AS labels, 'train' AS split FROM orders

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import re
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,27 +70,60 @@ def unescape_lines(text: Column) -> Column:
     return F.when(text.isNotNull(), F.array_join(parts, "\\"))
 
 
+_YEAR = r"(?<![0-9])([0-9]{4})(?![0-9])"
+
+
+def _year_of(path: str) -> int | None:
+    found = re.search(_YEAR, path.rstrip("/").rsplit("/", 1)[-1])
+    return int(found.group(1)) if found else None
+
+
 def read_yearly_files(
-    spark: SparkSession, paths: list[str], names: tuple[str, str] = ("NDD", "RELATO"), fmt: str = "parquet"
+    spark: SparkSession,
+    paths: list[str],
+    names: tuple[str, str] = ("NDD", "RELATO"),
+    fmt: str = "parquet",
+    readers: int = 16,
 ) -> DataFrame:
     """Concatenate files whose headers differ, taking the columns by position.
 
     The key is zero-padded to text and ``anio`` is the four-digit year in the
-    last part of the path.  One scan per path, united lazily.
+    last part of the path.  Headers are read first, ``readers`` at a time; then
+    all files of one header are one scan, however many there are, with the year
+    taken from each row's file.  Folders share a scan by header and year.  A path
+    named twice is read twice.
     """
-    out = None
-    for path in paths:
-        reader = spark.read.option("header", True) if fmt == "csv" else spark.read
-        part = reader.format(fmt).load(path)
-        year = re.search(r"(?<!\d)\d{4}(?!\d)", path.rstrip("/").rsplit("/", 1)[-1])
+    if not paths:
+        raise ValueError("there are no files to read")
+
+    def reader():
+        return (spark.read.option("header", True) if fmt == "csv" else spark.read).format(fmt)
+
+    def header(path: str) -> tuple[T.StructType, bool]:
+        frame = reader().load(path)
+        held = [unquote(f) for f in frame.inputFiles()]
+        return frame.schema, len(held) == 1 and held[0].endswith("/" + path.rstrip("/").rsplit("/", 1)[-1])
+
+    with ThreadPoolExecutor(readers) as pool:
+        headers = list(pool.map(header, paths))
+    scans: dict[tuple, list[str]] = {}
+    times: dict[str, int] = {}
+    for path, (schema, is_file) in zip(paths, headers, strict=True):
+        times[path] = times.get(path, 0) + 1
+        year = None if is_file else _year_of(path)
+        scans.setdefault((schema.json(), is_file, year, times[path]), []).append(path)
+    parts = []
+    for (schema, is_file, year, _), group in scans.items():
+        part = reader().schema(T.StructType.fromJson(json.loads(schema))).load(group)
         first, second = (F.col(f"`{c}`") for c in part.columns[:2])
+        in_name = F.regexp_extract(F.url_decode(F.col("_metadata.file_name")), _YEAR, 1).try_cast("int")
         part = part.select(
             tx.zero_pad_key(first.cast("string")).alias(names[0]),
             second.cast("string").alias(names[1]),
-            F.lit(int(year.group()) if year else None).cast("int").alias("anio"),
+            (in_name if is_file else F.lit(year).cast("int")).alias("anio"),
         )
-        out = part if out is None else out.unionByName(part)
-    return out
+        parts.append(part)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_labelled_splits(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
