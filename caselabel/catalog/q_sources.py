@@ -13,6 +13,7 @@ from caselabel.operators import columns as cl
 from caselabel.operators import labels as lo
 from caselabel.operators import snapshots as sn
 from caselabel.operators.datasets import class_ids
+from caselabel.plans import resumable
 from caselabel.plans.weekly import UPDATED, apply_update, weekly_run
 from caselabel.session import workspace
 from caselabel.sources import files, keyed, sinks, tables
@@ -181,9 +182,17 @@ def scan_typed_labelled(t):
     round(CASE WHEN words >= 50 THEN score ELSE 0.0 END, 6) AS score FROM norm n LEFT JOIN sg USING (NDD)""",
 )
 def incremental_pull(t):
-    pulled = tables.read_cases(t.cases().select("NDD", "RELATO"))
-    out = lo.gate_and_score(pulled, t.scorer("seguimiento"), "CANTIDAD_PALABRAS", "label", "score")
-    return rounded(out.select("NDD", "label", "score"), "score")
+    """The cases, kept in buckets of their key, are scored step by step; a second call would find nothing left to do."""
+    source, target = workspace(t.spark, "pull"), workspace(t.spark, "pulled")
+    keyed.save_keyed(t.cases().select("NDD", "RELATO"), source, "NDD", 8)
+    scorer = t.scorer("seguimiento")
+
+    def score(cases):
+        out = lo.gate_and_score(tables.read_cases(cases), scorer, "CANTIDAD_PALABRAS", "label", "score")
+        return out.select("NDD", "label", "score")
+
+    resumable.run_resumable(t.spark, source, target, score, buckets=8, per_step=4)
+    return rounded(resumable.read_results(t.spark, target), "score")
 
 
 # --- weekly result, shared by the sinks ---------------------------------------
