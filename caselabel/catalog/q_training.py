@@ -9,6 +9,7 @@ from caselabel.catalog import roles as ro
 from caselabel.catalog.registry import query, rounded
 from caselabel.functions import labels as lb
 from caselabel.functions import text as tx
+from caselabel.operators import datasets as ds
 from caselabel.operators import scoring as sc
 from caselabel.operators import training as tr
 from caselabel.operators.labels import long_enough
@@ -28,6 +29,14 @@ def train_classifier(t):
     return tr.training_history(rows, tr.train_classifier(rows, "RELATO", "labels"))
 
 
+@query("train_early_stopping")
+def train_early_stopping(t):
+    """Training in passes over the training part, measured on the validation part after each."""
+    rows = ds.split_hash(labelled(t), "NDD")
+    train, valid = (rows.where(F.col("split") == part) for part in ("train", "valid"))
+    return tr.pass_history(t.spark, tr.train_until_it_stops_helping(train, valid, "RELATO", "labels", passes=6, features=1 << 10))
+
+
 @query("predict_probability")
 def predict_probability(t):
     rows = labelled(t)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF, IndexToString, RegexTokenizer, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -48,6 +51,72 @@ def train_classifier(df: DataFrame, text: str, label: str, **options) -> Pipelin
     return PipelineModel([first, tokenizer, hashing, *rest])
 
 
+@dataclass(frozen=True)
+class Training:
+    """The model of the best pass, that pass, and ``(pass, train_loss, valid_loss, valid_accuracy)`` of all passes run."""
+
+    model: PipelineModel
+    best: int
+    history: list[tuple[int, float, float, float]]
+
+
+def train_until_it_stops_helping(
+    train: DataFrame,
+    valid: DataFrame,
+    text: str,
+    label: str,
+    passes: int = 20,
+    iterations: int = 5,
+    patience: int = 2,
+    features: int = 1 << 12,
+) -> Training:
+    """Fit in passes and stop once the loss on ``valid`` has not fallen for ``patience`` passes.
+
+    A softmax model over bags of words; each pass goes on from the weights of the
+    one before for ``iterations`` steps and is measured on both parts, and the
+    model with the lowest loss on ``valid`` is kept.  Labels that ``train`` lacks are
+    left out of the measure.  The driver holds classes x ``features`` weights and a
+    row per pass; term vectors are kept, spilling to disk, between passes.
+    """
+    if min(passes, iterations, patience) < 1:
+        raise ValueError("passes, iterations and patience are 1 at least")
+    indexer, tokenizer, hashing, idf, _ = classifier_pipeline(text, label, features=features).getStages()
+    parts = [df.where(F.col(text).isNotNull() & F.col(label).isNotNull()) for df in (train, valid)]
+    terms = [hashing.transform(tokenizer.transform(df)).select(label, "_tf") for df in parts]
+    shared = Pipeline(stages=[indexer, idf]).fit(terms[0])
+    vectors = [shared.transform(df).select("_y", "_x").persist(StorageLevel.MEMORY_AND_DISK) for df in terms]
+    loss = MulticlassClassificationEvaluator(labelCol="_y", predictionCol="_prediction", probabilityCol="_probability", metricName="logLoss")
+    accuracy = loss.copy().setMetricName("accuracy")
+    history, best, weights = [], None, None
+    try:
+        for number in range(1, passes + 1):
+            learner = MultilayerPerceptronClassifier(
+                layers=[features, max(2, len(shared.stages[0].labels))], maxIter=iterations, seed=1, featuresCol="_x", labelCol="_y",
+                predictionCol="_prediction", probabilityCol="_probability", rawPredictionCol="_raw",
+            )
+            if weights is not None:
+                learner = learner.setInitialWeights(weights)
+            model = learner.fit(vectors[0])
+            weights = model.weights
+            scored = model.transform(vectors[1])
+            history.append((number, loss.evaluate(model.transform(vectors[0])), loss.evaluate(scored), accuracy.evaluate(scored)))
+            if best is None or history[-1][2] < history[best[0] - 1][2]:
+                best = (number, model)
+            if number - best[0] >= patience:
+                break
+    finally:
+        for frame in vectors:
+            frame.unpersist()
+    labels, weighting = shared.stages
+    return Training(PipelineModel([labels, tokenizer, hashing, weighting, best[1]]), best[0], history)
+
+
+def pass_history(spark: SparkSession, training: Training) -> DataFrame:
+    """One row per pass, with the one that was kept marked."""
+    rows = [(*row, row[0] == training.best) for row in training.history]
+    return spark.createDataFrame(rows, "pass int, train_loss double, valid_loss double, valid_accuracy double, kept boolean")
+
+
 def training_history(df: DataFrame, model: PipelineModel) -> DataFrame:
     """Loss after each iteration of a fitted model: ``(iteration, loss)``."""
     losses = model.stages[-1].summary.objectiveHistory

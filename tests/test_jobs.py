@@ -22,7 +22,7 @@ from caselabel.streaming.incremental import run_available
 
 # queries whose point is a Python boundary: entity decoding and plugged-in models
 PYTHON = {"strip_markup", "lookup_narratives_decoded", "plug_in_score", "plug_in_score_windows", "plug_in_decoded_pages"}
-TRAINED = {"train_classifier", "predict_probability", "save_load_model"}
+TRAINED = {"train_classifier", "train_early_stopping", "predict_probability", "save_load_model"}
 
 
 def plan_of(df) -> str:
