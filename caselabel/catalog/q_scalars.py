@@ -27,6 +27,14 @@ def strip_markup(t):
     return t.pages.select("page_id", tx.strip_markup(F.col("html")).alias("texto"))
 
 
+_ELEMENTS_SQL = r"""(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|</?[a-z!?](?:[^>"'']|"[^"]*"|''[^'']*'')*>"""
+
+
+@query("strip_elements", f"SELECT page_id, regexp_replace(html, '{_ELEMENTS_SQL}', '', 'g') AS texto FROM pages")
+def strip_elements(t):
+    return t.pages.select("page_id", tx.strip_elements(F.col("html")).alias("texto"))
+
+
 @query("strip_tags", "SELECT page_id, lower(regexp_replace(html, '<[^>]*>', '', 'g')) AS texto FROM pages")
 def strip_tags(t):
     return t.pages.select("page_id", F.lower(tx.strip_tags(F.col("html"))).alias("texto"))

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import html
+import html.entities
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from caselabel import vocab
 
@@ -88,17 +86,82 @@ def strip_tags(text: Column) -> Column:
     return F.regexp_replace(text, r"<[^>]*>", "")
 
 
-@F.pandas_udf(T.StringType())
-def _unescape(text: pd.Series) -> pd.Series:
-    return text.map(html.unescape, na_action="ignore")
+#: Comments, scripts and style sheets with what they hold, and tags, in whose quoted attributes a ``>`` does not end them.
+_MARKUP = (
+    r"(?is)<!--.*?-->|<script\b[^>]*+>.*?</script\s*+>|<style\b[^>]*+>.*?</style\s*+>"
+    r"""|</?+[a-z!?](?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+)
 
 
-def strip_markup(text: Column) -> Column:
-    """Tags removed, lower-cased, entities decoded, no-break spaces to spaces.
+def strip_elements(text: Column) -> Column:
+    """Remove tags, comments, scripts and style sheets.
+
+    What only looks like the start of a tag, such as ``a < b``, stays, and so does
+    a tag, quote or comment that never ends.
+    """
+    return F.regexp_replace(text, _MARKUP, "")
+
+
+def _entity_names() -> tuple[str, str, str]:
+    """Names and characters of the standard's table, and the names that need no semicolon, longest first."""
+    table = sorted(html.entities.html5.items())
+    bare = sorted((name for name, _ in table if not name.endswith(";")), key=lambda n: (-len(n), n))
+    return " ".join(n for n, _ in table), "\u0001".join(c for _, c in table), "|".join(bare)
+
+
+def _code_point(digits: Column) -> Column:
+    """The character of a reference by number, ``digits`` being decimal or, after an x, hexadecimal."""
+    hexadecimal = F.lower(F.substring(digits, 1, 1)) == "x"
+    plain = F.regexp_replace(digits, "^[xX]?0*", "")
+    short = F.length(plain) <= 7  # more digits are no character in either base
+    number = F.when(plain == "", 0).when(short, F.when(hexadecimal, F.conv(plain, 16, 10)).otherwise(plain).cast("int"))
+
+    def character(n: Column) -> Column:
+        # 0x80 to 0x9F mean Windows' characters there, as far as it has some
+        windows = [bytes([i]).decode("cp1252", "replace") for i in range(0x80, 0xA0)]
+        windows = [c if c != "\ufffd" else chr(0x80 + i) for i, c in enumerate(windows)]
+        no_text = n.between(1, 8) | n.between(0x0E, 0x1F) | (n == 0x0B) | (n == 0x7F) | n.between(0xFDD0, 0xFDEF)
+        return (
+            F.when(n.isNull() | (n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), F.lit("\ufffd"))
+            .when(n.between(0x80, 0x9F), F.substr(F.lit("".join(windows)), n - 0x7F, F.lit(1)))
+            .when(no_text | (n.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE), F.lit(""))
+            .otherwise(F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
+        )
+
+    return once(number, character)
 
-    Decoding is the one step without a built-in; only texts that hold an ``&``
-    are shipped to Python, the others travel as NULL.
+
+def unescape(text: Column) -> Column:
+    """Character references by name or number as the characters they mean, the way browsers read them.
+
+    Old names count without a semicolon too, the longest that fits; what is no
+    reference stays as it is.
     """
-    bare = F.lower(strip_tags(text))
-    decoded = F.coalesce(_unescape(F.when(F.contains(bare, F.lit("&")), bare)), bare)
-    return F.replace(decoded, F.lit("\u00a0"), F.lit(" "))
+    names, characters, bare = _entity_names()
+    table = F.map_from_arrays(F.split(F.lit(names), " "), F.split(F.lit(characters), "\u0001"))
+
+    def after(piece: Column, cut: Column) -> Column:
+        return F.substr(piece, F.length(cut) + 1, F.length(piece))
+
+    def read(piece: Column) -> Column:
+        """What follows an ampersand."""
+        numeric = F.regexp_extract(piece, "^#(?:[xX][0-9a-fA-F]+|[0-9]+);?", 0)
+        digits = F.regexp_extract(piece, "^#([xX][0-9a-fA-F]+|[0-9]+)", 1)
+        token = F.regexp_extract(piece, r"^[^\t\n\f <&#;]{1,32};?", 0)
+        old = F.regexp_extract(token, f"^(?:{bare})", 0)
+        return (
+            F.when(numeric != "", F.concat(_code_point(digits), after(piece, numeric)))
+            .when(F.try_element_at(table, token).isNotNull(), F.concat(F.try_element_at(table, token), after(piece, token)))
+            .when(old != "", F.concat(F.try_element_at(table, old), after(piece, old)))
+            .otherwise(F.concat(F.lit("&"), piece))
+        )
+
+    def whole(pieces: Column) -> Column:
+        return F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), read), ""))
+
+    return F.when(F.contains(text, F.lit("&")), once(F.split(text, "&", -1), whole)).otherwise(text)
+
+
+def strip_markup(text: Column) -> Column:
+    """Tags removed, lower-cased, entities decoded, no-break spaces to spaces."""
+    return F.replace(unescape(F.lower(strip_tags(text))), F.lit("\u00a0"), F.lit(" "))

@@ -178,6 +178,41 @@ def test_masks(spark):
         pp.masked_digits(F.col("x"), "")
 
 
+def test_references_against_the_standard_library(spark):
+    import html
+    import random
+
+    names = list(html.entities.html5)
+    rng = random.Random(1)
+    texts = [f"a&{n}b" for n in names] + [f"&{n.rstrip(';')}" for n in names] + [f"&{n};x" for n in names if not n.endswith(";")]
+    numbers = [*range(400), 0xD7FF, 0xD800, 0xDFFF, 0xE000, 0xFDD0, 0xFFFE, 0xFFFF, 0x10000, 0x1FFFE, 0x10FFFF, 0x110000, 99999999, 10**25]
+    texts += [f"&#{i};" for i in numbers] + [f"&#x{i:x}z" for i in numbers] + [f"&#X0{i:X};" for i in numbers]
+    texts += ["&", "&&", "&#", "&#;", "&#x;", "&#xg", "& amp;", "&amp", "&notit;", "&NOTIT", "", "no", "&" + "a" * 40 + ";", "&amp;amp;", "&\n", "&ampé;"]
+    pieces = ["&", "#", "x", "1", "a", "amp", "lt;", "not", "in;", ";", " ", "é", "notin", "&#", "&#x", "0", "9f", "8364"]
+    texts += ["".join(rng.choices(pieces, k=rng.randrange(1, 9))) for _ in range(2000)]
+    assert values(spark, tx.unescape, *texts) == [html.unescape(t) for t in texts]
+    assert values(spark, tx.unescape, None, "x") == [None, "x"]
+    assert values(spark, tx.unescape, "&lt;" * 50_000) == ["<" * 50_000]
+
+
+def test_elements(spark):
+    cases = {
+        'a<b title="x > y">c</b>d': "acd",
+        "a<!-- <b> > -->b": "ab",
+        "x<SCRIPT type='t'>if (a < b) { y }</Script >z": "xz",
+        "x<style>\np > q {}\n</style>z<br/>w": "xzw",
+        "a < b and c > d": "a < b and c > d",
+        "a <b": "a <b",
+        "<!-- open": "<!-- open",
+        "<a href='x>y": "<a href='x>y",
+        "<!DOCTYPE html><p>t": "t",
+        "<script>open": "open",
+        "1<2>3": "1<2>3",
+    }
+    assert values(spark, tx.strip_elements, *cases) == list(cases.values())
+    assert values(spark, tx.strip_elements, None, "", '<a b="' + "x" * 500_000 + '">y') == [None, "", "y"]
+
+
 def test_blanks_of_every_kind(spark):
     text = "\u00a0 uno\u2003dos\t\n tres\x0bcuatro\u00a0"
     assert values(spark, tx.word_count_ws, text, "\u00a0", None) == [4, 0, 0]

@@ -20,8 +20,8 @@ from caselabel.session import workspace
 from caselabel.sources import files, sinks
 from caselabel.streaming.incremental import run_available
 
-# queries whose point is a Python boundary: entity decoding and plugged-in models
-PYTHON = {"strip_markup", "lookup_narratives_decoded", "plug_in_score", "plug_in_score_windows", "plug_in_decoded_pages"}
+# queries whose point is a Python boundary: plugged-in models
+PYTHON = {"plug_in_score", "plug_in_score_windows", "plug_in_decoded_pages"}
 TRAINED = {"train_classifier", "train_early_stopping", "predict_probability", "save_load_model"}
 
 
