@@ -39,31 +39,28 @@ def _longest_partner(length: Column, min_score: int) -> Column:
 
 
 def _tokens(labels: DataFrame, min_score: int) -> DataFrame:
-    """``(label, size, most, gram, place)``: q-grams with their occurrence number, and the edits a label may have at most."""
+    """``(label, size, most, gram, place)``: the q-grams of each label and the edits it may have at most."""
     q = 3 if min_score >= 75 else 2
     pad = F.lit("\u0001" * (q - 1))
     size = F.length("label")
     padded = F.concat(pad, F.col("label"), pad)
     rows = labels.select("label", size.alias("size"), _distance(_longest_partner(size, min_score), min_score).alias("most"), padded.alias("padded"))
     cut = F.transform(F.sequence(F.lit(1), F.col("size") + q - 1), lambda i: F.struct(i.alias("place"), F.substr(F.col("padded"), i, F.lit(q)).alias("gram")))
-    rows = rows.select("label", "size", "most", cut.alias("grams"))
-    # A q-gram that occurs again is another token: the second one of the one label meets the second one of the other.
-    numbered = F.transform(
-        "grams",
-        lambda g: F.struct(
-            g["place"].alias("place"),
-            F.concat(g["gram"], F.size(F.filter("grams", lambda h: (h["gram"] == g["gram"]) & (h["place"] < g["place"]))).cast("string")).alias("gram"),
-        ),
-    )
-    return rows.select("label", "size", "most", F.explode(numbered).alias("g")).select("label", "size", "most", "g.gram", "g.place")
+    return rows.select("label", "size", "most", F.explode(cut).alias("g")).select("label", "size", "most", "g.gram", "g.place")
 
 
 def _prefixes(tokens: DataFrame, frequency: DataFrame, min_score: int) -> DataFrame:
-    """The first tokens of each label, rarest first: as many as the edits it may have can spoil, and one more."""
+    """The first q-grams of each label, rarest first: as many as the edits it may have can spoil, and one more.
+
+    A q-gram that the cut would part from others of its kind in the label takes
+    them along: which of them is the other label's can't be told.
+    """
     q = 3 if min_score >= 75 else 2
     ranked = tokens.join(frequency, "gram").groupBy("label", "size", "most")
     first = ranked.agg(F.array_sort(F.collect_list(F.struct("n", "gram", "place"))).alias("t"))
-    kept = F.slice("t", F.lit(1), F.col("most") * q + 1)
+    first = first.withColumn("last", F.get("t", F.least(F.col("most") * q, F.size("t") - 1)))
+    bar = F.struct(F.col("last.n"), F.col("last.gram"))
+    kept = F.filter("t", lambda x: F.struct(x["n"], x["gram"]) <= bar)
     return first.select("label", "size", F.explode(kept).alias("t")).select("label", "size", "t.gram", "t.place")
 
 
