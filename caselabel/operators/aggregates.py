@@ -180,9 +180,9 @@ def exact_quantiles(df: DataFrame, column: str, at: dict[str, float]) -> DataFra
     total = F.col("total") - 1
     ends = [F.floor(total * share) if side == "low" else F.ceil(total * share) for _, side, share in spots]
     ranks = F.array(*[F.struct(F.lit(i).alias("spot"), e.cast("bigint").alias("rank")) for i, e in enumerate(ends)])
-    # Two rows per quantile from here on: small by construction, whatever the table's size.
-    wanted = values.agg(F.count(F.lit(1)).alias("total")).where("total > 0").select("total", F.inline(ranks))
-    wanted = wanted.withColumn("bits", F.lit(0).cast("bigint"))
+    # Two ranks per quantile: a scalar at first, then as many rows, whatever the table's size.
+    asked = values.agg(F.count(F.lit(1)).alias("total")).select(F.struct("total", ranks.alias("ranks"))).scalar()
+    wanted = None
     running = W.partitionBy("spot").orderBy("digit").rowsBetween(W.unboundedPreceding, -1)
     for level in range(4):
         shift = 48 - 16 * level
@@ -193,7 +193,11 @@ def exact_quantiles(df: DataFrame, column: str, at: dict[str, float]) -> DataFra
             rows = rows.join(F.broadcast(wanted.select("bits").distinct()), "bits", "left_semi")
         counts = rows.groupBy("bits", "digit").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("x"))
         before = F.coalesce(F.sum("n").over(running), F.lit(0))
-        placed = counts.join(F.broadcast(wanted.drop("x")), "bits").withColumn("before", before)
+        if wanted is None:
+            placed = counts.withColumn("_asked", asked).select("bits", "digit", "n", "x", "_asked.total", F.inline("_asked.ranks"))
+        else:
+            placed = counts.join(F.broadcast(wanted.drop("x")), "bits")
+        placed = placed.withColumn("before", before)
         hit = placed.where((F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("n")))
         bits = F.col("digit") if level == 0 else F.shiftleft("bits", 16).bitwiseOR(F.col("digit"))
         wanted = hit.select("total", "spot", (F.col("rank") - F.col("before")).alias("rank"), bits.alias("bits"), "x")
