@@ -35,6 +35,14 @@ def bounded_sample(df: DataFrame, stratum: str, per_stratum: int, max_rows: int)
     return near.withColumn("_rank", rank).where("_rank <= _quota").drop("_rows", "_place", "_rank", "_quota")
 
 
+def known_labels(labels: DataFrame, label: str, folds: int, held: int) -> tuple[DataFrame, dict[int, int]]:
+    """``(doc_id, label)`` of all ids labelled 0 or 1 outside the held-out fold, the least label of each, and the class sizes."""
+    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (fold_of(F.col("doc_id"), folds) != held))
+    known = known.groupBy("doc_id").agg(F.min(F.col(label).cast("int")).alias("label"))
+    sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return known, sizes
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, folds: int, held: int) -> tuple[DataFrame, dict[int, int]]:
     """``(doc_id, label, text)`` of at most ``per_class`` documents labelled 0 and as many labelled 1, and the class sizes.
 
@@ -43,9 +51,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     but the sample's.  Of repeated ids one label and one text are taken, the
     least.  Null texts are left out.
     """
-    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (fold_of(F.col("doc_id"), folds) != held))
-    known = known.groupBy("doc_id").agg(F.min(F.col(label).cast("int")).alias("label"))
-    sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    known, sizes = known_labels(labels, label, folds, held)
     chosen = bounded_sample(known, "label", per_class, 2 * per_class)
     texts = docs.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     return texts.groupBy("doc_id", "label").agg(F.min("text").alias("text")), sizes

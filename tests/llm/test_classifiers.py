@@ -102,3 +102,38 @@ def test_pairwise_ranking_finds_the_direction():
     score = model.predict(x)
     assert np.mean((score >= ql.BAR) == (label == 1)) > 0.95
     assert model.weights[1] > 0 > model.weights[3]
+
+
+def test_quality_is_learned_from_all_pairs():
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((90, 3))
+    label = (x[:, 0] - x[:, 2] + rng.standard_normal(90) > 0.4).astype(int)
+    model = ql.Model.fit(x, label, bad_share=float((label == 0).mean()))
+    z = (x - model.mean) / model.scale
+    gap = (z[label == 1][:, None] - z[label == 0][None]).reshape(-1, 3)
+    chance = 1 / (1 + np.exp(gap @ model.weights))
+    slant = (chance[:, None] * gap).mean(axis=0) - ql.RIDGE * model.weights
+    assert np.abs(slant).max() < 5e-3 and model.weights[0] > 0.5 > -0.5 > model.weights[2]
+    assert ((model.predict(x) < ql.BAR).sum()) == (label == 0).sum()
+
+
+def test_quality_counts_every_labelled_document(spark):
+    rnd = random.Random(9)
+    word = lambda bad: rnd.choice(["SPAM", "buy!!", "tree"]) if rnd.random() < (0.5 if bad else 0.2) else rnd.choice(["house", "water", "stone", "garden", "of", "to"])
+    rows = [(i, " ".join(word(i % 9 == 0) for _ in range(rnd.randrange(8, 30))), int(i % 9 != 0)) for i in range(9000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    out = ql.quality(df.select("doc_id", "text"), df.select("doc_id", "quality")).collect()
+    bad = {r[0] for r in rows if r[2] == 0}
+    trained = [r for r in out if not r.held_out]
+    assert len(out) == 9000 and len(trained) > 2 * 2000
+    # The bar is the quantile of all documents learned from, not of a sample's.
+    assert abs(sum(r.predicted == 0 for r in trained) - sum(r.doc_id in bad for r in trained)) <= 1
+
+
+def test_quality_sums_in_spark_are_those_in_memory(spark):
+    rng = np.random.default_rng(2)
+    x = rng.random((500, len(ql.NAMES)))
+    label = (x[:, 3] + 0.3 * rng.standard_normal(500) > 0.4).astype(int)
+    train = spark.createDataFrame([(int(b), r.tolist()) for b, r in zip(label, x, strict=True)], "label int, x array<double>").repartition(5)
+    here, there = ql.Model.fit(x, label, 0.3), ql.Model.fit_sums(ql._held_in_spark(train), len(ql.NAMES), 0.3)
+    assert here.predict(x).tolist() == there.predict(x).tolist()
