@@ -6,11 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF, IndexToString, RegexTokenizer, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -60,6 +59,18 @@ class Training:
     history: list[tuple[int, float, float, float]]
 
 
+def _losses(scored: DataFrame) -> tuple[float, float, float]:
+    """Mean log loss of part 0, and of part 1 with the share of right predictions, in one pass; 0 for a part without rows."""
+    chance = F.element_at(vector_to_array("_probability"), (F.col("_y") + 1).cast("int"))
+    loss = -F.log(F.least(F.greatest(chance, F.lit(1e-15)), F.lit(1 - 1e-15)))
+    right = (F.col("_prediction") == F.col("_y")).cast("double")
+
+    def mean(part: int, value: Column) -> Column:
+        return F.coalesce(F.avg(F.when(F.col("_part") == part, value)), F.lit(0.0))
+
+    return tuple(scored.agg(mean(0, loss), mean(1, loss), mean(1, right)).first())
+
+
 def train_until_it_stops_helping(
     train: DataFrame,
     valid: DataFrame,
@@ -76,19 +87,19 @@ def train_until_it_stops_helping(
     one before for ``iterations`` steps and is measured on both parts, and the
     model with the lowest loss on ``valid`` is kept.  Labels that ``train`` lacks are
     left out of the measure.  The driver holds classes x ``features`` weights and a
-    row per pass; term vectors are kept, spilling to disk, between passes.
+    row per pass; term vectors are kept, spilling to disk, from the first fit to the
+    last pass, so the texts of each part are read and cut into words once.
     """
     if min(passes, iterations, patience) < 1:
         raise ValueError("passes, iterations and patience are 1 at least")
     indexer, tokenizer, hashing, idf, _ = classifier_pipeline(text, label, features=features).getStages()
     parts = [df.where(F.col(text).isNotNull() & F.col(label).isNotNull()) for df in (train, valid)]
-    terms = [hashing.transform(tokenizer.transform(df)).select(label, "_tf") for df in parts]
-    shared = Pipeline(stages=[indexer, idf]).fit(terms[0])
-    vectors = [shared.transform(df).select("_y", "_x").persist(StorageLevel.MEMORY_AND_DISK) for df in terms]
-    loss = MulticlassClassificationEvaluator(labelCol="_y", predictionCol="_prediction", probabilityCol="_probability", metricName="logLoss")
-    accuracy = loss.copy().setMetricName("accuracy")
+    terms = [hashing.transform(tokenizer.transform(df)).select(label, "_tf").persist(StorageLevel.MEMORY_AND_DISK) for df in parts]
     history, best, weights = [], None, None
     try:
+        shared = Pipeline(stages=[indexer, idf]).fit(terms[0])
+        vectors = [shared.transform(df).select("_y", "_x") for df in terms]
+        measured = vectors[0].withColumn("_part", F.lit(0)).unionByName(vectors[1].withColumn("_part", F.lit(1)))
         for number in range(1, passes + 1):
             learner = MultilayerPerceptronClassifier(
                 layers=[features, max(2, len(shared.stages[0].labels))], maxIter=iterations, seed=1, featuresCol="_x", labelCol="_y",
@@ -98,14 +109,13 @@ def train_until_it_stops_helping(
                 learner = learner.setInitialWeights(weights)
             model = learner.fit(vectors[0])
             weights = model.weights
-            scored = model.transform(vectors[1])
-            history.append((number, loss.evaluate(model.transform(vectors[0])), loss.evaluate(scored), accuracy.evaluate(scored)))
+            history.append((number, *_losses(model.transform(measured))))
             if best is None or history[-1][2] < history[best[0] - 1][2]:
                 best = (number, model)
             if number - best[0] >= patience:
                 break
     finally:
-        for frame in vectors:
+        for frame in terms:
             frame.unpersist()
     labels, weighting = shared.stages
     return Training(PipelineModel([labels, tokenizer, hashing, weighting, best[1]]), best[0], history)

@@ -4,6 +4,8 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.sql import functions as F
 
 from caselabel.operators import training as tr
 
@@ -81,3 +83,14 @@ def test_senseless_options_are_refused(spark):
     rows = texts(spark, 5, 5)
     with pytest.raises(ValueError):
         tr.train_until_it_stops_helping(rows, rows, "t", "y", patience=0)
+
+
+def test_losses_of_both_parts_in_one_pass(spark, trained):
+    """As Spark's evaluators have them, a scan a figure."""
+    vectors = tr.PipelineModel(trained.model.stages[:-1]).transform(texts(spark, 90, 6).where("t IS NOT NULL AND y IS NOT NULL"))
+    scored = trained.model.stages[-1].transform(vectors.withColumn("_part", F.col("k") % 2))
+    loss = MulticlassClassificationEvaluator(labelCol="_y", predictionCol="_prediction", probabilityCol="_probability", metricName="logLoss")
+    first, second = scored.where("_part = 0"), scored.where("_part = 1")
+    expected = (loss.evaluate(first), loss.evaluate(second), loss.copy().setMetricName("accuracy").evaluate(second))
+    assert tr._losses(scored) == pytest.approx(expected, abs=1e-12)
+    assert tr._losses(first)[1:] == (0.0, 0.0)
