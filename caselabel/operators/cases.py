@@ -72,12 +72,14 @@ def phase_dates(phases: DataFrame, chosen: DataFrame, key: str = "NDD", unit: st
     """Latest start and end of the two investigation phases, and the longest term, in the unit chosen for each case.
 
     ``phases`` has ``key, unit, fase, estado, inicio, fin, tiempo`` with phase IP
-    or INS; it is cut down to the chosen ``(key, unit)`` before it is aggregated.
+    or INS, ``chosen`` one unit a key.  They meet by the key alone and the unit is
+    compared in the aggregate, so both stay partitioned as the aggregate and the
+    report's joins want them.
     """
-    active = phases.where(F.col("estado") == 1).join(chosen.select(key, unit), [key, unit], "left_semi")
+    active = phases.where(F.col("estado") == 1).join(chosen.select(key, F.col(unit).alias("_unit")), key)
 
     def last(phase: str, column: str) -> Column:
-        return F.max(F.when(F.col("fase") == phase, F.col(column)))
+        return F.max(F.when((F.col("fase") == phase) & (F.col(unit) == F.col("_unit")), F.col(column)))
 
     return active.groupBy(key).agg(
         last("IP", "inicio").alias("Fecha_IP_Inicio"),

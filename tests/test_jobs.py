@@ -239,3 +239,15 @@ def test_repeated_lookup_rows_do_not_multiply(rows):
 def test_repeated_mapping_entries_do_not_multiply(rows):
     mapping = rows("raw_label string, label string", ("a", "X"), ("a", "Y"))
     assert [r.c for r in lo.recode(rows("c string", ("a",), ("b",)), "c", mapping).collect()] == ["X", "b"]
+
+
+def test_phase_dates_by_hand_without_a_shuffle_by_unit(spark):
+    phases = [
+        ("a", 1, "IP", 1, 3, 4, 9), ("a", 1, "IP", 1, 2, 7, 9), ("a", 2, "INS", 1, 8, 8, 8), ("a", 1, "INS", 0, 9, 9, 9),
+        ("a", 1, "INS", 1, 5, 6, 30), ("b", None, "IP", 1, 1, 1, 1), ("c", 3, "IP", 1, 1, 1, 1), (None, 1, "IP", 1, 1, 1, 1),
+    ]
+    frame = spark.createDataFrame(phases, "NDD string, unidad long, fase string, estado int, inicio int, fin int, tiempo int")
+    chosen = spark.createDataFrame([("a", 1), ("b", None), ("d", 3), (None, 1)], "NDD string, unidad long")
+    out = cs.phase_dates(frame, chosen)
+    assert {r[0]: r[1:] for r in out.collect() if any(v is not None for v in r[1:])} == {"a": (3, 7, 5, 6, 30)}
+    assert not re.search(r"hashpartitioning\([^)]*unidad", plan_of(out))
