@@ -403,7 +403,8 @@ class Roles:
         return self.region.select(F.col("r_regionkey").alias("estado_procesal"), F.col("r_name").alias("descripcion_estado"))
 
     def courts(self) -> DataFrame:
-        return self.spark.createDataFrame([("F", "PENAL"), ("O", "TRANSITO"), ("O", "")], "code string, name string")
+        # A relation of known size, so that the planner need not shuffle the cases by these few codes.
+        return self.spark.sql("SELECT * FROM VALUES ('F', 'PENAL'), ('O', 'TRANSITO'), ('O', '') AS courts(code, name)")
 
     def assignments(self) -> DataFrame:
         flag, line = F.col("l_returnflag"), F.col("l_linenumber")

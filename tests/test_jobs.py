@@ -241,6 +241,11 @@ def test_repeated_mapping_entries_do_not_multiply(rows):
     assert [r.c for r in lo.recode(rows("c string", ("a",), ("b",)), "c", mapping).collect()] == ["X", "b"]
 
 
+@pytest.mark.parametrize("name", ["case_detail", "case_activity"])
+def test_cases_are_not_dealt_by_a_few_court_codes(spark, name):
+    assert "hashpartitioning(fuero" not in plan_of(REGISTRY[name].run(spark, SMALL))
+
+
 def test_phase_dates_by_hand_without_a_shuffle_by_unit(spark):
     phases = [
         ("a", 1, "IP", 1, 3, 4, 9), ("a", 1, "IP", 1, 2, 7, 9), ("a", 2, "INS", 1, 8, 8, 8), ("a", 1, "INS", 0, 9, 9, 9),
